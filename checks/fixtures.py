@@ -9,6 +9,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from flowatlas.sources import spread
+
 RUN_TS = datetime(2024, 1, 1)
 LATER_TS = datetime(2024, 2, 1)
 
@@ -78,7 +80,7 @@ def workflow_structs(orders: DataFrame, flow_prefix: str = "flow_") -> DataFrame
         f"CASE WHEN st <> 'F' THEN array({repeated}) ELSE array() END, "
         f"array({shadow}, {untyped}, {unnamed}))"
     )
-    columns = orders.selectExpr(
+    columns = spread(orders).selectExpr(
         "o_orderkey AS k",
         "o_custkey AS c",
         "o_orderstatus AS st",

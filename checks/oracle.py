@@ -313,7 +313,7 @@ ORACLE: dict[str, str] = {
             PARTITION BY l_orderkey, l_linenumber
             ORDER BY {', '.join(f'{v} NULLS FIRST' for v in _LINE_VALUES)}) = 1""",
     "validate_unique": """
-        SELECT md5(text) AS text_md5, doc_id, lang, source, n_chars,
+        SELECT sha256(text) AS text_key, doc_id, lang, source, n_chars,
                CASE WHEN copies > 1 THEN copies END AS duplicate_count
         FROM (SELECT *, count(*) OVER (PARTITION BY text) AS copies FROM documents)
         QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS FIRST,

@@ -95,16 +95,19 @@ def _large(parsed: DataFrame) -> DataFrame:
 
 def _large_lookup(parsed: DataFrame) -> DataFrame:
     """`(large_key, name) -> node` for oversize documents; the last node of a name wins."""
-    nodes = _large(parsed).select("large_key", "PipelineName", F.posexplode("nodes"))
+    nodes = _large(parsed).select("large_key", F.posexplode("nodes").alias("pos", "node"))
     # Nodes are stored last one first, so the smallest position wins.
-    return nodes.groupBy("large_key", F.col("col.name").alias("name")).agg(
-        F.min_by("col", "pos").alias("node"), F.any_value("PipelineName").alias("PipelineName")
-    )
+    by_name = nodes.groupBy("large_key", F.col("node.name").alias("name"))
+    return by_name.agg(F.min_by("node", "pos").alias("node"))
 
 
-def _copies(parsed: DataFrame) -> DataFrame:
-    """How often each oversize document occurs: copies in one file share a key."""
-    return _large(parsed).groupBy("large_key", "path").agg(F.count("*").alias("copies"))
+def _large_documents(parsed: DataFrame) -> DataFrame:
+    """Oversize documents once each; copies within one file share a key."""
+    return (
+        _large(parsed)
+        .groupBy("large_key", "path", "PipelineName")
+        .agg(F.count("*").alias("copies"))
+    )
 
 
 def _repeat(rows: DataFrame) -> DataFrame:
@@ -119,11 +122,11 @@ def activity_lookup(parsed: DataFrame) -> DataFrame:
             "nodes", lambda n, i: F.array_position(names, n["name"]) == i + 1
         ),
     )
-    rows = _small(parsed).select("path", "PipelineName", F.inline(winners))
+    rows = _small(parsed).select("path", "PipelineName", F.inline(winners)).drop("wrong_type")
     if not _has_large(parsed):
         return rows
-    large = _large_lookup(parsed).join(_copies(parsed), "large_key")
-    large = large.select("path", "PipelineName", "node.*", "copies")
+    large = _large_lookup(parsed).join(_large_documents(parsed), "large_key")
+    large = large.select("path", "PipelineName", "node.*", "copies").drop("wrong_type")
     return rows.unionByName(_repeat(large))
 
 
@@ -143,12 +146,12 @@ def _large_edges(parsed: DataFrame) -> DataFrame:
     lookup = _large_lookup(parsed)
     steps = _large(parsed).select("large_key", F.inline("steps"))
     wanted = steps.select("large_key", "name", F.explode("depends").alias("depends_on")).distinct()
-    sinks = lookup.select("large_key", "name", "PipelineName", F.col("node").alias("sink"))
+    sinks = lookup.withColumnRenamed("node", "sink")
     sources = lookup.select(
         "large_key", F.col("name").alias("depends_on"), F.col("node").alias("source")
     )
     edges = wanted.join(sinks, ["large_key", "name"]).join(sources, ["large_key", "depends_on"])
-    return edges.join(_copies(parsed), "large_key")
+    return edges.join(_large_documents(parsed), "large_key")
 
 
 def _edges(parsed: DataFrame) -> DataFrame:
@@ -204,7 +207,7 @@ def counts_per_document(parsed: DataFrame) -> DataFrame:
 
 def _large_link_counts(parsed: DataFrame) -> DataFrame:
     edges = _large_edges(parsed).groupBy("large_key").agg(F.count("*").alias("n"))
-    per_key = _copies(parsed).join(edges, "large_key", "left")
+    per_key = _large_documents(parsed).join(edges, "large_key", "left")
     rows = per_key.select(
         "path",
         F.lit("dependencies").alias("metric"),

@@ -4,6 +4,7 @@ from flowatlas.sources.documents import (
     json_files,
     list_files,
     read_documents,
+    spread,
 )
 from flowatlas.sources.parse import (
     parse_documents,
@@ -33,6 +34,7 @@ __all__ = [
     "read_snapshot",
     "rejected_documents",
     "require_valid",
+    "spread",
     "stage",
     "valid_documents",
     "write_snapshot",

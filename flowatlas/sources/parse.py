@@ -5,7 +5,7 @@ Output of `parse_documents`, one row per input row:
     path            as given
     document_bytes  size of the text
     PipelineName    NULL when the document failed
-    nodes           included activities, last one first: (name, type, target)
+    nodes           included activities, last one first: (name, type, target, wrong_type)
     links           distinct dependency edges between nodes, both as positions in
                     `nodes`: source * 2^32 + target
     failure         why the document cannot be used, or NULL
@@ -52,39 +52,39 @@ def _by_type(kind: Column, branches: dict[str, Column]) -> Column:
     return out
 
 
-def _holder(kind: Column, properties: Column) -> Column:
-    """JSON text of the object that names the target, for the types that have one."""
-    return _by_type(
-        kind,
-        {
-            name: F.get_json_object(properties, f"$.{parent}") if parent else properties
-            for name, (parent, _) in TARGET_PATHS.items()
-        },
-    )
+def _target(kind: Column, properties: Column) -> Column:
+    return _by_type(kind, {k: F.get_json_object(properties, _path(k)) for k in TARGET_PATHS})
 
 
-def _target(kind: Column, holder: Column) -> Column:
-    return _by_type(
-        kind,
-        {name: F.get_json_object(holder, f"$.{leaf}") for name, (_, leaf) in TARGET_PATHS.items()},
-    )
+def _path(kind: str) -> str:
+    return ".".join(["$", *filter(None, TARGET_PATHS[kind])])
 
 
-def _wrong_type(kind: Column, properties: Column, holder: Column, target: Column) -> Column:
+def _wrong_type(kind: Column, properties: Column, target: Column) -> Column:
     """True when a value that the activity type reads has the wrong JSON type.
 
-    Text that merely looks like an object, list, number or boolean is common in names,
-    so only such values are parsed again to see whether they were quoted.
+    Both cases are looked into only when there is a reason to: no target although there
+    are properties, or a target that reads like an object, list, number or boolean and
+    may or may not have been quoted.
     """
     suspicious = target.rlike(r"^([\[{]|-?[0-9]|true$|false$)")
 
-    def unquoted(leaf: str) -> Column:
-        value = F.try_variant_get(F.try_parse_json(holder), f"$.{leaf}", "variant")
-        return suspicious & (F.schema_of_variant(value) != "STRING")
-
-    unquoted_target = _by_type(kind, {n: unquoted(leaf) for n, (_, leaf) in TARGET_PATHS.items()})
-    not_object = ~properties.startswith("{") | ~holder.startswith("{")
-    return F.when(kind.isin(list(TARGET_PATHS)), not_object | unquoted_target)
+    def unquoted(name: str) -> Column:
+        value = F.try_variant_get(F.try_parse_json(properties), _path(name), "variant")
+        return F.schema_of_variant(value) != "STRING"
+
+    def no_object(name: str) -> Column:
+        parent, _ = TARGET_PATHS[name]
+        whole = ~properties.startswith("{")
+        if parent is None:
+            return whole
+        return whole | ~F.get_json_object(properties, f"$.{parent}").startswith("{")
+
+    return (
+        F.when(properties.isNull() | ~kind.isin(list(TARGET_PATHS)), F.lit(False))
+        .when(target.isNull(), _by_type(kind, {k: no_object(k) for k in TARGET_PATHS}))
+        .when(suspicious, _by_type(kind, {k: unquoted(k) for k in TARGET_PATHS}))
+    )
 
 
 def _record(
@@ -100,87 +100,97 @@ def _record(
         name, kind = activity["name"], activity["type"]
         properties = activity["typeProperties"]
         return let(
-            _holder(kind, properties),
-            lambda holder: let(
-                _target(kind, holder),
-                lambda target: F.struct(
-                    name.alias("name"),
-                    kind.alias("type"),
-                    target.alias("target"),
-                    F.coalesce(
-                        _wrong_type(kind, properties, holder, target), F.lit(False)
-                    ).alias("wrong_type"),
-                ),
+            _target(kind, properties),
+            lambda target: F.struct(
+                name.alias("name"),
+                kind.alias("type"),
+                target.alias("target"),
+                _wrong_type(kind, properties, target).alias("wrong_type"),
             ),
         )
 
     nodes = F.transform(F.reverse(F.filter(activities, included)), node)
     return let(
-        F.struct(activities.alias("activities"), nodes.alias("nodes")),
-        lambda v: let(
-            F.struct(
-                v["activities"].alias("activities"),
-                v["nodes"].alias("nodes"),
-                F.transform(v["nodes"], lambda n: n["name"]).alias("names"),
-            ),
-            lambda w: _finish(text, parsed, w, inline),
+        nodes,
+        lambda n: let(
+            F.transform(n, lambda node: node["name"]),
+            lambda names: _fields(text, parsed, activities, n, names, inline),
         ),
     )
 
 
-def _finish(text: Column, parsed: Column, bound: Column, inline: Column | None) -> Column:
-    activities, nodes, names = bound["activities"], bound["nodes"], bound["names"]
-
-    def depends(activity: Column) -> Column:
-        return F.coalesce(activity["dependsOn"], F.array())
-
-    def null_dependency(activity: Column) -> Column:
-        holes = F.exists(depends(activity), lambda d: d.isNull())
-        return holes & F.array_contains(names, activity["name"])
+def _links(activities: Column, names: Column) -> Column:
+    """Distinct edges as positions in `names`; a name that is not there gives 0 or NULL."""
 
     def links_of(activity: Column) -> Column:
-        end = F.array_position(names, activity["name"])
-        starts = F.filter(
-            F.transform(depends(activity), lambda d: F.array_position(names, d["activity"])),
-            lambda position: position > 0,
+        return let(
+            F.array_position(names, activity["name"]),
+            lambda sink: F.transform(
+                _depends(activity),
+                lambda d: F.shiftleft(
+                    F.array_position(names, d["activity"]), LINK_BITS
+                ).bitwiseOR(sink),
+            ),
         )
-        return F.when(
-            end > 0, F.transform(starts, lambda s: F.shiftleft(s, LINK_BITS).bitwiseOR(end))
-        ).otherwise(F.array().cast("array<bigint>"))
 
     links = F.array_distinct(F.flatten(F.transform(activities, links_of)))
-    steps = F.transform(
-        activities,
-        lambda a: F.struct(
-            a["name"].alias("name"),
-            F.transform(depends(a), lambda d: d["activity"]).alias("depends"),
-        ),
-    )
-    failure = (
-        F.when(text.isNull() | (F.trim(text) == ""), "blank text")
+    sink_mask = F.lit((1 << LINK_BITS) - 1)
+    return F.filter(links, lambda k: (k > sink_mask) & (k.bitwiseAND(sink_mask) > 0))
+
+
+def _depends(activity: Column) -> Column:
+    return F.coalesce(activity["dependsOn"], F.array())
+
+
+def _failure(text: Column, parsed: Column, activities: Column, nodes: Column, names: Column):
+    def null_dependency(activity: Column) -> Column:
+        holes = F.exists(activity["dependsOn"], lambda d: d.isNull())
+        return holes & F.array_contains(names, activity["name"])
+
+    closed = text.endswith("}") | F.rtrim(F.translate(text, "\r\n\t", "   ")).endswith("}")
+    return (
+        F.when(parsed.isNull(), "blank text")
         .when(parsed["_corrupt"].isNotNull(), "not a JSON object of the expected shape")
-        .when(~F.rtrim(F.translate(text, "\r\n\t", "   ")).endswith("}"), "text after the object")
+        .when(~closed, "text after the object")
         .when(~F.coalesce(_present(parsed["name"]), F.lit(False)), "missing name")
         .when(F.exists(activities, lambda a: a.isNull()), "null activity")
         .when(F.exists(nodes, lambda n: n["wrong_type"]), "target of the wrong type")
         .when(F.exists(activities, null_dependency), "null dependency")
     )
-    def fields(why: Column) -> Column:
-        valid = why.isNull()
-        kept = F.transform(
-            nodes, lambda n: F.struct(*[n[f].alias(f) for f in ("name", "type", "target")])
+
+
+def _fields(
+    text: Column,
+    parsed: Column,
+    activities: Column,
+    nodes: Column,
+    names: Column,
+    inline: Column | None,
+) -> Column:
+    def steps() -> Column:
+        return F.transform(
+            activities,
+            lambda a: F.struct(
+                a["name"].alias("name"),
+                F.transform(_depends(a), lambda d: d["activity"]).alias("depends"),
+            ),
         )
+
+    def fields(failure: Column) -> Column:
+        valid = failure.isNull()
         columns = [
             F.when(valid, parsed["name"]).alias("PipelineName"),
-            F.when(valid, kept).alias("nodes"),
-            F.when(valid if inline is None else valid & inline, links).alias("links"),
-            why.alias("failure"),
+            F.when(valid, nodes).alias("nodes"),
+            F.when(valid if inline is None else valid & inline, _links(activities, names)).alias(
+                "links"
+            ),
+            failure.alias("failure"),
         ]
         if inline is not None:
-            columns.append(F.when(valid & ~inline, steps).alias("steps"))
+            columns.append(F.when(valid & ~inline, steps()).alias("steps"))
         return F.struct(*columns)
 
-    return let(failure, fields)
+    return let(_failure(text, parsed, activities, nodes, names), fields)
 
 
 def parse_documents(
