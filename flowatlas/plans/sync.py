@@ -66,7 +66,8 @@ def sync_table(
     rejected = null_keyed(source, keys)
     current = snapshots.latest_version(spark, path)
     if current is None:
-        target = spark.createDataFrame([], source.schema)
+        # Known to be empty when planned, so the first sync has no join.
+        target = source.limit(0)
     else:
         target = snapshots.read_snapshot(spark, path, current)
     if strategy == "upsert":

@@ -90,8 +90,13 @@ def commit_version(
     batch_id: int | None = None,
 ) -> None:
     """Write the history row that makes `version` visible."""
-    row = (operation, run_ts, batch_id, *[counts.get(name) for name in COUNTS], version)
-    entry = spark.createDataFrame([row], HISTORY).drop("version").coalesce(1)
+    values = {
+        "operation": F.lit(operation),
+        "run_ts": F.lit(run_ts).cast("timestamp"),
+        "batch_id": F.lit(batch_id).cast("bigint"),
+        **{name: F.lit(counts.get(name)).cast("bigint") for name in COUNTS},
+    }
+    entry = spark.range(0, 1, 1, 1).select(*[c.alias(name) for name, c in values.items()])
     entry.write.mode("overwrite").parquet(f"{table}/history/version={version}")
 
 
