@@ -33,6 +33,7 @@ HEADLINE = [
     "rows_changed_except",
     "merge_upsert",
     "sync_table",
+    "sync_table_bucketed",
     "sync_all_tables",
     "version_diff",
     "incremental_ingest",

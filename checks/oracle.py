@@ -362,6 +362,7 @@ ORACLE: dict[str, str] = {
     "merge_append": _states("SELECT * FROM old UNION ALL SELECT * FROM new"),
     "merge_replace": _states("SELECT * FROM new"),
     "sync_table": _states("SELECT * FROM new"),
+    "sync_table_bucketed": _states("SELECT * FROM new"),
     "sync_all_tables": _SYNC_ALL,
     "sync_total_summary": f"""
         SELECT CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(updated) AS BIGINT) AS updated,

@@ -281,6 +281,15 @@ def sync_table(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_snapshot(spark, _synced(spark, sf, "sync"))
 
 
+def sync_table_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """A table bucketed by its key, synced twice: the stored side is not shuffled."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_folder(spark, "bucketed")
+    for state, run_ts in zip(_states(spark, sf), (RUN_TS, LATER_TS)):
+        plans.sync_table(state, path, KEY, run_ts=run_ts, buckets=buckets)
+    return sources.read_snapshot(spark, path)
+
+
 def _sync_workflows(spark: SparkSession, sf: str, name: str) -> dict[str, plans.SyncResult]:
     """Sync the tables of the old documents, then of the new; results of the second."""
     orders = table(spark, sf, "orders")
@@ -470,6 +479,7 @@ QUERIES: dict[str, Query] = {
         merge_append,
         merge_replace,
         sync_table,
+        sync_table_bucketed,
         sync_all_tables,
         sync_total_summary,
         synced_activities,

@@ -50,11 +50,15 @@ def sync_table(
     run_ts: datetime | None = None,
     batch_id: int | None = None,
     day_column: str | None = None,
+    buckets: int | None = None,
 ) -> SyncResult:
     """Write the next version of the table at `path`.
 
     Order: keys are checked, NULL keys set aside, both sides joined once, the result
     written once. The counts are observed on the rows as they are written.
+
+    `day_column` partitions the files by the day of a timestamp; `buckets` buckets them
+    by the keys, and a table that is bucketed stays so.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {STRATEGIES}, not {strategy!r}")
@@ -64,12 +68,15 @@ def sync_table(
     else:
         unique, duplicates = check_unique(source, keys, on_duplicate, order_by)
     rejected = null_keyed(source, keys)
-    current = snapshots.latest_version(spark, path)
-    if current is None:
+    entry = snapshots.latest_entry(spark, path)
+    layout = snapshots.Buckets(buckets, list(keys)) if buckets else snapshots.buckets_of(entry)
+    if layout and day_column:
+        raise ValueError("a table is either bucketed or partitioned by day")
+    if entry is None:
         # Known to be empty when planned, so the first sync has no join.
         target = source.limit(0)
     else:
-        target = snapshots.read_snapshot(spark, path, current)
+        target = snapshots.read_entry(spark, path, entry)
     if strategy == "upsert":
         changes = classify(
             target, unique, keys, ignore_columns, null_safe, delete_missing, delete_scope
@@ -81,18 +88,22 @@ def sync_table(
         changes = unique.withColumn(ACTION, F.lit(INSERT))
     if day_column:
         changes = snapshots.by_day(changes, day_column)
-    version = 0 if current is None else current + 1
-    counts = _write_counted(changes, path, version)
-    snapshots.commit_version(spark, path, version, strategy, counts, run_ts, batch_id)
+    elif layout and entry is None:
+        changes = changes.repartition(layout.count, *layout.keys)
+    version = 0 if entry is None else entry["version"] + 1
+    counts = _write_counted(changes, path, version, layout)
+    snapshots.commit_version(spark, path, version, strategy, counts, run_ts, batch_id, layout)
     return SyncResult(path, version, counts, rejected, duplicates)
 
 
-def _write_counted(changes: DataFrame, path: str, version: int) -> dict[str, int]:
+def _write_counted(
+    changes: DataFrame, path: str, version: int, layout: snapshots.Buckets | None
+) -> dict[str, int]:
     # Nothing is shuffled between the observation and the write, so the counts come
     # from the tasks that commit the files, each taken once however often it is retried.
     seen = Observation()
     observed = changes.observe(seen, *count_columns())
-    snapshots.write_data(apply_changes(observed), path, version)
+    snapshots.write_data(apply_changes(observed), path, version, layout)
     return {name: int(seen.get[name]) for name in snapshots.COUNTS}
 
 

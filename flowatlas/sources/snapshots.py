@@ -5,20 +5,36 @@
 
 A version exists once its history row does: a run lost half-way leaves data that no
 reader sees and that the next run overwrites. One writer per table is assumed.
+
+A table may be bucketed by its keys. A sync then reads it without a shuffle: only the
+new rows move to the buckets. Take as many buckets as `spark.sql.shuffle.partitions`,
+so that the join writes one file per bucket. Spark knows buckets of catalog tables only,
+so every bucketed version is an external table of the current database as well.
 """
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from hashlib import sha256
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 HISTORY = (
     "operation STRING, run_ts TIMESTAMP, batch_id BIGINT, inserted BIGINT, updated BIGINT, "
-    "deleted BIGINT, unchanged BIGINT, version BIGINT"
+    "deleted BIGINT, unchanged BIGINT, bucket_count INT, bucket_keys ARRAY<STRING>, "
+    "version BIGINT"
 )
 COUNTS = ["inserted", "updated", "deleted", "unchanged"]
 DAY = "by_day"
 
 
+@dataclass(frozen=True)
+class Buckets:
+    count: int
+    keys: Sequence[str]
+
+
 def data_path(table: str, version: int) -> str:
     return f"{table}/data/version={version}"
 
@@ -38,7 +54,19 @@ def history(spark: SparkSession, table: str) -> DataFrame:
 
 def latest_version(spark: SparkSession, table: str) -> int | None:
     """Number of the newest finished version, or None."""
-    return history(spark, table).agg(F.max("version")).first()[0]
+    entry = latest_entry(spark, table)
+    return entry["version"] if entry else None
+
+
+def latest_entry(spark: SparkSession, table: str) -> Row | None:
+    """History row of the newest finished version, or None."""
+    return history(spark, table).orderBy(F.desc("version")).first()
+
+
+def buckets_of(entry: Row | None) -> Buckets | None:
+    if entry is None or entry["bucket_count"] is None:
+        return None
+    return Buckets(entry["bucket_count"], entry["bucket_keys"])
 
 
 def last_batch(spark: SparkSession, table: str) -> int | None:
@@ -56,14 +84,47 @@ def read_snapshot(
     spark: SparkSession, table: str, version: int | None = None, keep_day: bool = False
 ) -> DataFrame:
     """Rows of a version, by default of the newest."""
-    if version is None:
-        version = latest_version(spark, table)
-    if version is None:
-        raise ValueError(f"no finished version in {table}")
-    rows = spark.read.parquet(data_path(table, version))
+    versions = history(spark, table)
+    if version is not None:
+        versions = versions.filter(F.col("version") == version)
+    entry = versions.orderBy(F.desc("version")).first()
+    if entry is None:
+        raise ValueError(f"no finished version {'' if version is None else version} in {table}")
+    return read_entry(spark, table, entry, keep_day)
+
+
+def read_entry(spark: SparkSession, table: str, entry: Row, keep_day: bool = False) -> DataFrame:
+    """Rows of the version that a history row is about."""
+    path = data_path(table, entry["version"])
+    buckets = buckets_of(entry)
+    if buckets:
+        return _bucketed(spark, path, buckets)
+    rows = spark.read.parquet(path)
     return rows if keep_day else rows.drop(DAY)
 
 
+def columns_ddl(schema: StructType) -> str:
+    """Column list of a CREATE TABLE statement."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def _catalog_name(path: str) -> str:
+    return f"snapshot_{sha256(path.encode()).hexdigest()[:32]}"
+
+
+def _bucketed(spark: SparkSession, path: str, buckets: Buckets) -> DataFrame:
+    name = _catalog_name(path)
+    if not spark.catalog.tableExists(name):
+        keys = ", ".join(f"`{key}`" for key in buckets.keys)
+        location = path.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} ({columns_ddl(spark.read.parquet(path).schema)}) "
+            f"USING parquet CLUSTERED BY ({keys}) INTO {buckets.count} BUCKETS "
+            f"LOCATION '{location}'"
+        )
+    return spark.table(name)
+
+
 def by_day(df: DataFrame, column: str) -> DataFrame:
     """Add the day of a timestamp as partition column, with rows of a day kept together.
 
@@ -73,11 +134,21 @@ def by_day(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(DAY, F.to_date(column)).hint("rebalance", DAY)
 
 
-def write_data(df: DataFrame, table: str, version: int) -> None:
+def write_data(
+    df: DataFrame, table: str, version: int, buckets: Buckets | None = None
+) -> None:
+    path = data_path(table, version)
     writer = df.write.mode("overwrite")
+    if buckets:
+        name = _catalog_name(path)
+        # An unfinished earlier attempt at this version may have left its definition.
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        bucketed = writer.format("parquet").bucketBy(buckets.count, *buckets.keys)
+        bucketed.option("path", path).saveAsTable(name)
+        return
     if DAY in df.columns:
         writer = writer.partitionBy(DAY)
-    writer.parquet(data_path(table, version))
+    writer.parquet(path)
 
 
 def commit_version(
@@ -88,6 +159,7 @@ def commit_version(
     counts: dict[str, int],
     run_ts: datetime | None = None,
     batch_id: int | None = None,
+    buckets: Buckets | None = None,
 ) -> None:
     """Write the history row that makes `version` visible."""
     values = {
@@ -95,8 +167,11 @@ def commit_version(
         "run_ts": F.lit(run_ts).cast("timestamp"),
         "batch_id": F.lit(batch_id).cast("bigint"),
         **{name: F.lit(counts.get(name)).cast("bigint") for name in COUNTS},
+        "bucket_count": F.lit(buckets.count if buckets else None).cast("int"),
+        "bucket_keys": F.array(*map(F.lit, buckets.keys)) if buckets else F.lit(None),
     }
     entry = spark.range(0, 1, 1, 1).select(*[c.alias(name) for name, c in values.items()])
+    entry = entry.withColumn("bucket_keys", F.col("bucket_keys").cast("array<string>"))
     entry.write.mode("overwrite").parquet(f"{table}/history/version={version}")
 
 

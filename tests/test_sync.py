@@ -221,3 +221,35 @@ def test_profile(spark):
     assert row.json_bytes == len('{"ID":1,"Name":"Alice"}{"ID":2,"Name":"Bob"}{"ID":3}')
     assert row.schema == "struct<ID:bigint,Name:string>"
     assert ops.profile(df.limit(0), "none").first().n_rows == 0
+
+
+def test_bucketed_table(spark, folder):
+    first = rows(spark, FIRST, *[(str(i), "A") for i in range(200)])
+    plans.sync_table(first, folder, ["id"], buckets=8)
+    second = rows(spark, SECOND, *[(str(i), "A" if i % 2 else "B") for i in range(50, 250)])
+    result = plans.sync_table(second, folder, ["id"], run_ts=SECOND)
+    assert counts(result) == (50, 75, 50, 75)
+    assert len(stored(spark, folder)) == 200 and stored(spark, folder, 0) == content(first)
+    files = [f for f in os.listdir(f"{folder}/data/version=1") if f.endswith(".parquet")]
+    assert len(files) == 8
+    # A session that does not know the table finds the buckets from the history.
+    name = snapshots._catalog_name(snapshots.data_path(folder, 1))
+    spark.sql(f"DROP TABLE {name}")
+    again = plans.sync_table(second, folder, ["id"])
+    assert (again.version, counts(again)) == (2, (0, 0, 0, 200))
+    with pytest.raises(ValueError):
+        plans.sync_table(second, folder, ["id"], day_column="CreatedDate")
+
+
+def test_bucketed_target_is_not_shuffled(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = rows(spark, FIRST, *[(str(i), "A") for i in range(100)])
+        plans.sync_table(source, folder, ["id"], buckets=8)
+        target = sources.read_snapshot(spark, folder)
+        changes = ops.classify(target, ops.dedupe_by_key(source, ["id"]), ["id"])
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange") == 1
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
