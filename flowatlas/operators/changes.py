@@ -127,9 +127,17 @@ def change_counts(changes: DataFrame) -> DataFrame:
     return changes.agg(*count_columns())
 
 
+def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of one side, reduced per task before they are shuffled.
+
+    A semi or anti join cannot split its right side, so a key that many rows share must
+    not arrive as many rows.
+    """
+    return df.select(*require_keys(keys)).distinct()
+
+
 def _unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    keys = require_keys(keys)
-    return left.join(right.select(*keys), keys, "left_anti")
+    return left.join(_distinct_keys(right, keys), list(keys), "left_anti")
 
 
 def count_inserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -144,13 +152,22 @@ def count_deleted(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 def keep_present(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target without the rows whose key the source does not hold."""
-    keys = require_keys(keys)
-    return target.join(source.select(*keys), keys, "left_semi").select(*target.columns)
+    kept = target.join(_distinct_keys(source, keys), list(keys), "left_semi")
+    return kept.select(*target.columns)
 
 
 def rows_changed(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of `left` that `right` does not hold, NULLs being equal."""
-    return left.subtract(right.select(*left.columns))
+    """Distinct rows of `left` that `right` does not hold, NULLs being equal.
+
+    The set difference as one aggregate over both sides: equal rows are reduced before
+    the shuffle, and each side is shuffled once, where EXCEPT joins and then aggregates.
+    """
+    columns = left.columns
+    tagged = left.withColumn("_left", F.lit(True)).unionByName(
+        right.select(*columns).withColumn("_left", F.lit(False))
+    )
+    only_left = tagged.groupBy(*columns).agg(F.min("_left").alias("_left"))
+    return only_left.filter("_left").drop("_left")
 
 
 def append_rows(target: DataFrame, source: DataFrame) -> DataFrame:

@@ -88,8 +88,15 @@ def test_counts_use_anti_joins(keyed):
         assert "LeftAnti" in optimized(df) and "LeftOuter" not in optimized(df)
 
 
-def test_first_document_is_top_one(documents):
-    assert "TakeOrderedAndProject" in plan_of(plans.first_document(documents))
+def test_first_document_filters_the_scan(documents):
+    plan = plan_of(plans.first_document(documents))
+    assert "EqualTo(path,/d/0)" in plan and "Exchange SinglePartition" not in plan
+
+
+def test_set_difference_is_one_shuffle(keyed):
+    plan = plan_of(ops.rows_changed(keyed, keyed.filter("k > 10")))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert "partial_min" in plan
 
 
 def test_hot_key_with_a_third_of_all_rows(spark, folder):
