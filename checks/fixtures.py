@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowatlas.sources import spread
 
-RUN_TS = datetime(2024, 1, 1)
-LATER_TS = datetime(2024, 2, 1)
+RUN_TS = datetime(2024, 1, 1, 12)
+LATER_TS = datetime(2024, 2, 1, 12)
 
 # The older snapshot ends, and the newer one begins, with an order date.
 OLD_END = "2000-07-01"
