@@ -3,6 +3,7 @@
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -18,8 +19,9 @@ from flowatlas.operators.changes import (
     null_keyed,
 )
 from flowatlas.operators.quality import check_unique, duplicate_keys
-from flowatlas.schemas import TABLE_KEYS
 from flowatlas.plans.naming import dataset_name
+from flowatlas.plans.together import run_together
+from flowatlas.schemas import TABLE_KEYS
 from flowatlas.sources import snapshots
 
 STRATEGIES = ("upsert", "append", "replace")
@@ -126,17 +128,24 @@ def sync_all(
 ) -> dict[str, SyncResult]:
     """Check and sync every table below `root`; see `sync_table` for the options."""
     scopes = delete_scopes or {}
-    return {
-        name: sync_table(
-            df,
-            f"{root}/{dataset_name(name)}",
-            keys[name],
-            on_duplicate=on_duplicate,
-            delete_scope=scopes.get(name),
-            **options,
-        )
-        for name, df in tables.items()
-    }
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    return run_together(
+        spark,
+        {
+            name: partial(
+                sync_table,
+                df,
+                f"{root}/{dataset_name(name)}",
+                keys[name],
+                on_duplicate=on_duplicate,
+                delete_scope=scopes.get(name),
+                **options,
+            )
+            for name, df in tables.items()
+        },
+    )
 
 
 def summary(spark: SparkSession, results: Mapping[str, SyncResult]) -> DataFrame:
