@@ -87,9 +87,7 @@ def _wrong_type(kind: Column, properties: Column, target: Column) -> Column:
     )
 
 
-def _record(
-    text: Column, parsed: Column, include: list[str] | None, inline: Column | None
-) -> Column:
+def _record(parsed: Column, include: list[str] | None, inline: Column | None) -> Column:
     activities = F.coalesce(parsed["properties"]["activities"], F.array())
 
     def included(activity: Column) -> Column:
@@ -114,7 +112,7 @@ def _record(
         nodes,
         lambda n: let(
             F.transform(n, lambda node: node["name"]),
-            lambda names: _fields(text, parsed, activities, n, names, inline),
+            lambda names: _fields(parsed, activities, n, names, inline),
         ),
     )
 
@@ -142,16 +140,40 @@ def _depends(activity: Column) -> Column:
     return F.coalesce(activity["dependsOn"], F.array())
 
 
-def _failure(text: Column, parsed: Column, activities: Column, nodes: Column, names: Column):
+# Key that follows a document when it is read as the value of an object; see below.
+_END = "end of the document"
+# Columns computed below the generator, where expressions are compiled. The keys have a
+# column of their own: they are used three times and must be read once.
+_KEYS, _WHOLE = "_keys", "_whole"
+
+
+def _enclosing_keys(text: Column) -> Column:
+    """Keys of an object that holds the document and one key after it.
+
+    The parser of the document stops at the end of the object. Here more text, or a
+    bracket too many, breaks the enclosing object or hides the second key. Only keys
+    are read, which skips over the values.
+    """
+    return F.json_object_keys(F.concat(F.lit('{"document":'), text, F.lit(f',"{_END}":0}}')))
+
+
+def _ends_with_object(text: Column, keys: Column) -> Column:
+    """True when nothing but space follows the first JSON object."""
+    complete = (F.size(keys) == 2) & (F.element_at(keys, -1) == _END)
+    # Reading keys does not accept NaN and Infinity, which the documents may hold.
+    unusual = text.rlike("NaN|Infinity") & text.rlike(r"\}\s*$")
+    return F.when(keys.isNull(), unusual).otherwise(complete)
+
+
+def _failure(parsed: Column, activities: Column, nodes: Column, names: Column) -> Column:
     def null_dependency(activity: Column) -> Column:
         holes = F.exists(activity["dependsOn"], lambda d: d.isNull())
         return holes & F.array_contains(names, activity["name"])
 
-    closed = text.endswith("}") | F.rtrim(F.translate(text, "\r\n\t", "   ")).endswith("}")
     return (
         F.when(parsed.isNull(), "blank text")
         .when(parsed["_corrupt"].isNotNull(), "not a JSON object of the expected shape")
-        .when(~closed, "text after the object")
+        .when(~F.col(_WHOLE), "text after the object")
         .when(~F.coalesce(_present(parsed["name"]), F.lit(False)), "missing name")
         .when(F.exists(activities, lambda a: a.isNull()), "null activity")
         .when(F.exists(nodes, lambda n: n["wrong_type"]), "target of the wrong type")
@@ -160,7 +182,6 @@ def _failure(text: Column, parsed: Column, activities: Column, nodes: Column, na
 
 
 def _fields(
-    text: Column,
     parsed: Column,
     activities: Column,
     nodes: Column,
@@ -190,7 +211,7 @@ def _fields(
             columns.append(F.when(valid & ~inline, steps()).alias("steps"))
         return F.struct(*columns)
 
-    return let(_failure(text, parsed, activities, nodes, names), fields)
+    return let(_failure(parsed, activities, nodes, names), fields)
 
 
 def parse_documents(
@@ -216,9 +237,15 @@ def parse_documents(
         columns.append(F.when(~inline, key).alias("large_key"))
     record = let(
         parse_json("value", DOCUMENT),
-        lambda parsed: _record(F.col("value"), parsed, include, inline),
+        lambda parsed: _record(parsed, include, inline),
+    )
+    sized = documents.withColumns(
+        {
+            "document_bytes": F.octet_length("value").cast("bigint"),
+            _KEYS: _enclosing_keys(F.col("value")),
+        }
     )
-    sized = documents.withColumn("document_bytes", F.octet_length("value").cast("bigint"))
+    sized = sized.withColumn(_WHOLE, _ends_with_object(F.col("value"), F.col(_KEYS)))
     return sized.select(*columns, F.inline(F.array(record)))
 
 

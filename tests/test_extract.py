@@ -251,6 +251,12 @@ def test_failures(spark):
         ('{"name": "p", "properties": "x"}', shape),
         ('{"name": "p", "properties": {"activities": {"a": 1}}}', shape),
         ('{"name": "p"} and more', "text after the object"),
+        ('{"name": "p"}{"name": "q"}', "text after the object"),
+        ('{"name": "p"}, {"name": "q"}', "text after the object"),
+        ('{"name": "p"}, "k": {"name": "q"}', "text after the object"),
+        ('{"name": "p"}}', "text after the object"),
+        ('{"name": "p"}]}', "text after the object"),
+        ('{"name": "p", "n": NaN} x', "text after the object"),
         ("{}", "missing name"),
         ('{"name": ""}', "missing name"),
         ('{"name": null}', "missing name"),
@@ -283,6 +289,8 @@ def test_not_failures(spark):
         '{"name": "p"}\n',
         '\n {"name": "p"} \r\n\t',
         '{"name": "p", "properties": null}',
+        '{"name": "p", "note": "}{ x"}',
+        '{"name": "p", "n": NaN, "i": -Infinity}\n',
         '{"name": "p", "properties": {"activities": null}}',
         document("p", {"name": "n", "type": "DatabricksNotebook", "dependsOn": None}),
         notebook_document("[parameters('x')]"),
