@@ -11,7 +11,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(QUERIES)
+    assert set(ORACLE) == set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
