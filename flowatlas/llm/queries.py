@@ -9,6 +9,7 @@ from flowatlas.llm import (
     bpe, chat, decontaminate, language, licenses, pii, quality_fm, rules, secret_scan, simhash,
 )
 from flowatlas.llm.common import cut_lineage, held_out, read
+from flowatlas.llm.oracle import ORACLE
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -149,4 +150,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+

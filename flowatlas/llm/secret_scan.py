@@ -45,10 +45,10 @@ ALLOWED = (
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """A class of characters, its candidates, and the entropy in bits from which a window counts."""
+    """A class of characters, what its candidates are made of, and the entropy in bits that counts."""
 
     alphabet: str
-    candidate: str
+    whole: str
     threshold: float
 
     @property
@@ -60,9 +60,11 @@ class CharacterClass:
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DIGITS = "0123456789"
 CLASSES = (
-    CharacterClass(DIGITS + "abcdefABCDEF", r"(?<![A-Za-z0-9+/_=-])[0-9a-fA-F]{20,}(?![A-Za-z0-9+/_=-])", 3.2),
-    CharacterClass(UPPER + UPPER.lower() + DIGITS + "+/_=-", r"[A-Za-z0-9+/_=-]{20,}", 3.8),
+    CharacterClass(DIGITS + "abcdefABCDEF", "[0-9a-fA-F]+", 3.2),
+    CharacterClass(UPPER + UPPER.lower() + DIGITS + "+/_=-", "[A-Za-z0-9+/_=-]+", 3.8),
 )
+#: Runs long enough for a window; each is looked at in every class that has all its characters.
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: c log2 c in millionths for every count of a window.
 TERMS = tuple(round(c * math.log2(c) * MILLION) if c else 0 for c in range(WINDOW + 1))
 
@@ -119,11 +121,10 @@ def _window_span(found: Column, kind: CharacterClass) -> Column:
     return slide(F.split(found, ""))
 
 
-def _entropy_spans(text: Column, kind: CharacterClass) -> Column:
-    allowed = "^(?:" + "|".join(ALLOWED) + ")$"
-    candidates = F.filter(matches(text, kind.candidate), lambda m: ~m["found"].rlike(allowed))
+def _entropy_spans(candidates: Column, kind: CharacterClass) -> Column:
+    of_class = F.filter(candidates, lambda m: m["found"].rlike(f"^{kind.whole}$"))
     spans = F.transform(
-        candidates,
+        of_class,
         lambda m: let(
             _window_span(m["found"], kind),
             lambda w: F.struct(
@@ -158,17 +159,19 @@ def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") ->
 
     Both arrays are ordered by begin, then by the order of `KINDS`.
     """
-    base = _base_spans(F.col(text))
+    allowed = "^(?:" + "|".join(ALLOWED) + ")$"
+    candidates = F.filter(matches(F.col(text), CANDIDATE), lambda m: ~m["found"].rlike(allowed))
 
-    def all_spans(base: Column) -> Column:
-        found = F.array_distinct(F.concat(*[_entropy_spans(F.col(text), c) for c in CLASSES]))
+    def all_spans(parts: Column) -> Column:
+        base = parts["base"]
+        found = F.array_distinct(F.concat(*[_entropy_spans(parts["candidates"], c) for c in CLASSES]))
         free = F.filter(
             found, lambda s: ~F.exists(base, lambda b: (s["begin"] < b["end"]) & (b["begin"] < s["end"]))
         )
-        # of two classes' spans that overlap, the first class's stays
         return F.struct(base.alias("base"), F.sort_array(F.concat(base, _without_inner(free))).alias("spans"))
 
-    return docs.withColumn(into, let(base, all_spans))
+    parts = F.struct(_base_spans(F.col(text)).alias("base"), candidates.alias("candidates"))
+    return docs.withColumn(into, let(parts, all_spans))
 
 
 def _without_inner(spans: Column) -> Column:
