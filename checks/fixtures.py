@@ -9,8 +9,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flowatlas.sources import spread
-
 RUN_TS = datetime(2024, 1, 1, 12)
 LATER_TS = datetime(2024, 2, 1, 12)
 
@@ -44,7 +42,9 @@ def _activity(
     )
 
 
-def workflow_structs(orders: DataFrame, flow_prefix: str = "flow_") -> DataFrame:
+def workflow_structs(
+    orders: DataFrame, flow_prefix: str = "flow_", name: str = "concat('customer_', c)"
+) -> DataFrame:
     """`(path, landed, name, properties)`: the documents before they become text."""
     kinds = "array('ExecutePipeline', 'ExecuteDataFlow', 'Copy', 'DatabricksNotebook', 'Wait')"
     kind = f"element_at({kinds}, (m + i) % 5 + 1)"
@@ -80,7 +80,8 @@ def workflow_structs(orders: DataFrame, flow_prefix: str = "flow_") -> DataFrame
         f"CASE WHEN st <> 'F' THEN array({repeated}) ELSE array() END, "
         f"array({shadow}, {untyped}, {unnamed}))"
     )
-    columns = spread(orders).selectExpr(
+    cores = orders.sparkSession.sparkContext.defaultParallelism
+    columns = orders.repartition(cores).selectExpr(
         "o_orderkey AS k",
         "o_custkey AS c",
         "o_orderstatus AS st",
@@ -93,7 +94,7 @@ def workflow_structs(orders: DataFrame, flow_prefix: str = "flow_") -> DataFrame
     return columns.selectExpr(
         "concat('/flows/', y, '/order_', k, '.json') AS path",
         "landed",
-        "concat('customer_', c) AS name",
+        f"{name} AS name",
         f"named_struct('activities', {activities}) AS properties",
     )
 
@@ -174,3 +175,12 @@ def new_workflows(orders: DataFrame) -> DataFrame:
     return workflow_documents(
         orders.filter(F.col("o_orderdate") >= F.lit(NEW_START).cast("timestamp_ntz"))
     )
+
+
+def arrivals(orders: DataFrame) -> list[DataFrame]:
+    """`(name, properties)` of the old and the new state; in each a workflow has one document."""
+    name = "concat('order_', k)"
+    old = orders.filter(F.col("o_orderdate") < F.lit(OLD_END).cast("timestamp_ntz"))
+    new = orders.filter(F.col("o_orderdate") >= F.lit(NEW_START).cast("timestamp_ntz"))
+    states = [workflow_structs(old, "dataflow_", name), workflow_structs(new, "flow_", name)]
+    return [state.select("name", "properties") for state in states]

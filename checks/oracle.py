@@ -14,14 +14,17 @@ _PATH = "'/flows/' || year(o_orderdate) || '/order_' || o_orderkey || '.json'"
 DEFAULTS = "('DatabricksNotebook', 'ExecutePipeline', 'ExecuteDataFlow')"
 
 
-def _acts(where: str = "true", flow_prefix: str = "flow_") -> str:
+_BY_CUSTOMER, _BY_ORDER = "'customer_' || o_custkey", "'order_' || o_orderkey"
+
+
+def _acts(where: str = "true", flow_prefix: str = "flow_", name: str = _BY_CUSTOMER) -> str:
     """CTEs `base` (one row per document) and `acts` (one row per activity)."""
     return f"""
     base AS (
         SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS st, o_orderpriority AS p,
                CAST(left(o_orderpriority, 1) AS INT) AS n, year(o_orderdate) AS y,
-               month(o_orderdate) AS m, 'customer_' || o_custkey AS pname,
-               sha256('customer_' || o_custkey || '|Pipeline') AS pid,
+               month(o_orderdate) AS m, {name} AS pname,
+               sha256({name} || '|Pipeline') AS pid,
                {_PATH} AS path
         FROM orders WHERE {where}),
     steps AS (
@@ -58,11 +61,16 @@ def _acts(where: str = "true", flow_prefix: str = "flow_") -> str:
     """
 
 
-def _extract(where: str = "true", flow_prefix: str = "flow_", types: str | None = DEFAULTS) -> str:
+def _extract(
+    where: str = "true",
+    flow_prefix: str = "flow_",
+    types: str | None = DEFAULTS,
+    name: str = _BY_CUSTOMER,
+) -> str:
     """CTEs `pipelines`, `nodes` / `activities`, `lookup`, `edges` / `dependencies`."""
     wanted = f"AND type IN {types}" if types else ""
     return f"""
-    {_acts(where, flow_prefix)},
+    {_acts(where, flow_prefix, name)},
     pipelines AS (
         SELECT pid AS PipelineId, pname AS PipelineName, 'Pipeline' AS PipelineType,
                '1' AS PipelineLevel
@@ -186,6 +194,15 @@ def _both_states(name: str) -> str:
     return f"o AS ({old}), n AS ({new})"
 
 
+def _arrived(name: str) -> str:
+    """A table after two arrivals: the later document of a workflow counts."""
+    early = _extract(f"{_OLD} AND NOT ({_NEW})", "dataflow_", name=_BY_ORDER)
+    late = _extract(_NEW, name=_BY_ORDER)
+    return f"""
+        SELECT * FROM (WITH {early} {_unique(name)})
+        UNION ALL SELECT * FROM (WITH {late} {_unique(name)})"""
+
+
 def _table_counts(name: str) -> str:
     keys, values = _TABLES[name]
     on = " AND ".join(f"o.{key} = n.{key}" for key in keys)
@@ -357,6 +374,21 @@ ORACLE: dict[str, str] = {
         SELECT * FROM new
         UNION ALL
         SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)"""),
+    "merge_upsert_fewer_columns": _states("""
+        SELECT n.* REPLACE (o.o_totalprice AS o_totalprice)
+        FROM new n LEFT JOIN old o ON o.o_orderkey = n.o_orderkey
+        UNION ALL
+        SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)"""),
+    "merge_upsert_new_columns": _states("""
+        SELECT *, o_orderstatus || '!' AS o_note FROM new
+        UNION ALL
+        SELECT *, NULL FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)"""),
+    "upsert_after_append": _states("""
+        SELECT * FROM new
+        UNION ALL
+        SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)"""),
+    "merge_append_null_keys": _states("""
+        SELECT * FROM old UNION ALL SELECT * FROM new WHERE o_orderstatus <> 'P'"""),
     "delete_missing": _states("""
         SELECT * FROM old WHERE o_orderkey IN (SELECT o_orderkey FROM new)"""),
     "merge_append": _states("SELECT * FROM old UNION ALL SELECT * FROM new"),
@@ -386,26 +418,36 @@ ORACLE: dict[str, str] = {
     "version_diff": _states("SELECT * FROM new EXCEPT SELECT * FROM old"),
     "partitioned_write": """
         SELECT *, strftime(ts, '%Y-%m-%d') AS by_day FROM events""",
-    "json_roundtrip": _from_extract("SELECT * FROM activities"),
+    "partitioned_sync": """
+        SELECT * FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+    "snapshot_history_untimed": """
+        SELECT * FROM (VALUES (CAST(0 AS BIGINT), 'create', true), (1, 'upsert', true))
+            AS t(version, operation, timed)""",
+    "json_roundtrip": _from_extract("""
+        SELECT 'activities_df' AS "table", ActivityId AS id, ParentId AS other FROM activities
+        UNION ALL
+        SELECT 'pipelines_df', PipelineId, PipelineName FROM pipelines
+        UNION ALL
+        SELECT 'dependencies_df', DependencySourceId, DependencyTargetId FROM dependencies"""),
     "views_query": _from_extract("""
         SELECT name, n_calls, n_documents FROM (
             SELECT ActivityTargetName AS name, count(*) AS n_calls FROM activities
             WHERE ActivityTargetType = 'Pipeline' GROUP BY 1)
         JOIN (SELECT PipelineName AS name, count(*) AS n_documents FROM pipelines GROUP BY 1)
         USING (name)"""),
-    "incremental_ingest": f"""
-        WITH early AS (WITH {_extract(_OLD)} {_unique('activities')}),
-        late AS (WITH {_extract(f'NOT ({_OLD})')} {_unique('activities')})
-        SELECT * FROM late
-        UNION ALL
-        SELECT * FROM early WHERE ParentId NOT IN (
-            SELECT sha256('customer_' || o_custkey || '|Pipeline') FROM orders
-            WHERE NOT ({_OLD}))""",
-    "surrogate_key": _states("""
+    "incremental_ingest": _arrived("activities"),
+    "incremental_ingest_bounded": _arrived("activities"),
+    "incremental_edges": _arrived("dependencies"),
+    "incremental_pipelines": _arrived("pipelines"),
+    "incremental_two_streams": _arrived("activities"),
+    "incremental_quarantine": f"""
+        SELECT {_REASONS} AS failure, count(*) AS n FROM orders
+        WHERE {_REASONS} IS NOT NULL GROUP BY 1""",
+    "surrogate_key": """
         SELECT o_orderkey, sha256(concat_ws('|',
             CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END,
             o_orderpriority, CAST(o_orderkey AS VARCHAR))) AS surrogate_key
-        FROM old"""),
+        FROM orders""",
     "uuid_ids": """
         SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(36 AS BIGINT) AS shortest,
                CAST(36 AS BIGINT) AS longest, count(*) AS n_version_4 FROM events""",

@@ -1,15 +1,17 @@
 """One query per operator, each over whole given tables."""
 
 from collections.abc import Callable
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures
 from checks.fixtures import LATER_TS, RUN_TS, table
 from flowatlas import functions as fx, operators as ops, plans, sources
-from flowatlas.schemas import ACTIVITIES, PIPELINES, conform
+from flowatlas.schemas import PIPELINES, TABLE_SCHEMAS, conform
 from flowatlas.session import shared_folder
-from flowatlas.streaming import ingest_arrivals
+from flowatlas.streaming import ingest_arrivals, rejected_arrivals, sync_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -265,6 +267,38 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return ops.apply_changes(_changes(spark, sf, delete_missing=False))
 
 
+def merge_upsert_fewer_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """A source without a stored column leaves that column as it is."""
+    old, new = _states(spark, sf)
+    changes = ops.classify(old, new.drop("o_totalprice"), KEY, delete_missing=False)
+    return ops.apply_changes(changes)
+
+
+def merge_upsert_new_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """A column new in the source is NULL in rows the source does not have."""
+    old, new = _states(spark, sf)
+    noted = new.withColumn("o_note", F.concat("o_orderstatus", F.lit("!")))
+    return ops.apply_changes(ops.classify(old, noted, KEY, delete_missing=False))
+
+
+def upsert_after_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that an append stored twice are one row again after the next upsert."""
+    path = _synced(spark, sf, "append-upsert", strategy="append")
+    _, new = _states(spark, sf)
+    plans.sync_table(new, path, KEY, delete_missing=False, run_ts=LATER_TS)
+    return sources.read_snapshot(spark, path)
+
+
+def merge_append_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with a NULL key are set aside by an append as by every strategy."""
+    old, new = _states(spark, sf)
+    path = shared_folder(spark, "append-null")
+    sources.create_if_absent(old, path, run_ts=RUN_TS)
+    key = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
+    plans.sync_table(new.withColumn("o_orderkey", key), path, KEY, strategy="append")
+    return sources.read_snapshot(spark, path)
+
+
 def delete_missing(spark: SparkSession, sf: str) -> DataFrame:
     return ops.keep_present(*_states(spark, sf), KEY)
 
@@ -350,14 +384,46 @@ def partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "by-day")
     sources.write_snapshot(table(spark, sf, "events"), path, day_column="ts")
     rows = sources.read_snapshot(spark, path, keep_day=True)
-    return rows.withColumn("by_day", F.col("by_day").cast("string"))
+    days = F.col(sources.snapshots.DAY).cast("string")
+    return rows.withColumn("by_day", days).drop(sources.snapshots.DAY)
+
+
+def partitioned_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """A table by day, synced twice; the second sync keeps the layout, and some days are read."""
+    events = table(spark, sf, "events")
+    path = shared_folder(spark, "sync-by-day")
+    early = events.withColumn("value", F.col("value") + 1)
+    plans.sync_table(early, path, ["event_id"], run_ts=RUN_TS, day_column="ts")
+    plans.sync_table(events, path, ["event_id"], run_ts=LATER_TS)
+    return sources.read_days(spark, path, date(2024, 1, 5), date(2024, 1, 20))
+
+
+def snapshot_history_untimed(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions written without a run time have the time they were written."""
+    old, new = _states(spark, sf)
+    path = shared_folder(spark, "untimed")
+    sources.create_if_absent(old, path)
+    plans.sync_table(new, path, KEY)
+    timed = F.col("run_ts").isNotNull().alias("timed")
+    return sources.history(spark, path).select("version", "operation", timed)
 
 
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The three tables as JSON files, read back."""
     folder = shared_folder(spark, "json")
-    tables = {"activities_df": ops.activities(_parsed(spark, sf), RUN_TS)}
-    plans.write_json_tables(tables, folder)
-    return _untimed(spark.read.schema(ACTIVITIES).json(f"{folder}/activities_df"))
+    plans.write_json_tables(plans.extraction.tables_of(_parsed(spark, sf), RUN_TS), folder)
+    keys = {
+        "activities_df": ("ActivityId", "ParentId"),
+        "pipelines_df": ("PipelineId", "PipelineName"),
+        "dependencies_df": ("DependencySourceId", "DependencyTargetId"),
+    }
+    found = [
+        spark.read.schema(TABLE_SCHEMAS[name])
+        .json(f"{folder}/{name}")
+        .select(F.lit(name).alias("table"), F.col(a).alias("id"), F.col(b).alias("other"))
+        for name, (a, b) in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def views_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -381,31 +447,71 @@ def views_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Two arrivals of files, two runs of the stream; stored activities afterwards."""
-    orders = table(spark, sf, "orders")
+def _ingested(
+    spark: SparkSession, sf: str, name: str, max_files: int | None = None, streams: int = 1
+) -> DataFrame:
+    """Two arrivals of files, two runs of a stream or of one each; a stored table afterwards."""
     root = shared_folder(spark, "ingest")
-    early = F.col("landed") < F.lit(fixtures.OLD_END).cast("timestamp_ntz")
-    for number, (arrived, run_ts) in enumerate([(early, RUN_TS), (~early, LATER_TS)]):
-        structs = fixtures.workflow_structs(orders).filter(arrived).select("name", "properties")
-        structs.write.json(f"{root}/landing/arrival={number}")
+    runs = zip(fixtures.arrivals(table(spark, sf, "orders")), (RUN_TS, LATER_TS))
+    for number, (documents, run_ts) in enumerate(runs):
+        stream = number % streams
+        files = documents.coalesce(3) if max_files else documents
+        files.write.json(f"{root}/landing={stream}/arrival={number}")
         ingest_arrivals(
             spark,
-            f"{root}/landing",
+            f"{root}/landing={stream}",
             f"{root}/tables",
-            f"{root}/checkpoint",
+            f"{root}/checkpoint={stream}",
             per_line=True,
             run_ts=run_ts,
+            max_files=max_files,
         )
-    path = f"{root}/tables/{plans.dataset_name('activities_df')}"
-    return _untimed(sources.read_snapshot(spark, path))
+    return _untimed(sources.read_snapshot(spark, f"{root}/tables/{plans.dataset_name(name)}"))
+
+
+def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    return _ingested(spark, sf, "activities_df")
+
+
+def incremental_ingest_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with one file in a batch."""
+    return _ingested(spark, sf, "activities_df", max_files=1)
+
+
+def incremental_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return _ingested(spark, sf, "dependencies_df")
+
+
+def incremental_pipelines(spark: SparkSession, sf: str) -> DataFrame:
+    return _ingested(spark, sf, "pipelines_df")
+
+
+def incremental_two_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Each arrival by a stream of its own, both beginning with batch 0."""
+    return _ingested(spark, sf, "activities_df", streams=2)
+
+
+def incremental_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged documents as lines of landed files: how many failed for which reason."""
+    root = shared_folder(spark, "damaged")
+    damaged = fixtures.damaged_documents(table(spark, sf, "orders")).select("value")
+    batch = damaged.withColumns(
+        {
+            "path": F.lit("landing/lines.json"),
+            "size": F.octet_length("value"),
+            "modified": F.lit(RUN_TS),
+        }
+    )
+    sync_batch(batch, 0, root, stream_id="lines", run_ts=RUN_TS)
+    rejected = rejected_arrivals(spark, root).filter("digest IS NOT NULL")
+    return rejected.groupBy("failure").agg(F.count("*").alias("n"))
 
 
 # --- scalar functions --------------------------------------------------------------
 
 
 def surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
-    orders = fixtures.old_orders(table(spark, sf, "orders"))
+    orders = table(spark, sf, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "").otherwise(F.col("o_orderstatus"))
     key = fx.surrogate_key(status, "o_orderpriority", F.col("o_orderkey"))
     return orders.select("o_orderkey", key.alias("surrogate_key"))
@@ -475,8 +581,12 @@ QUERIES: dict[str, Query] = {
         change_counts,
         changed_rows_preview,
         merge_upsert,
+        merge_upsert_fewer_columns,
+        merge_upsert_new_columns,
+        upsert_after_append,
         delete_missing,
         merge_append,
+        merge_append_null_keys,
         merge_replace,
         sync_table,
         sync_table_bucketed,
@@ -487,10 +597,17 @@ QUERIES: dict[str, Query] = {
         snapshot_as_of,
         snapshot_history,
         version_diff,
+        snapshot_history_untimed,
         partitioned_write,
+        partitioned_sync,
         json_roundtrip,
         views_query,
         incremental_ingest,
+        incremental_ingest_bounded,
+        incremental_edges,
+        incremental_pipelines,
+        incremental_two_streams,
+        incremental_quarantine,
         surrogate_key,
         uuid_ids,
         path_last_part,

@@ -28,7 +28,8 @@ def null_keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(_any_null(require_keys(keys)))
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a value in every key column."""
     return df.filter(~_any_null(keys))
 
 
@@ -65,31 +66,40 @@ def classify(
     source are left out (see `null_keyed`), those of the target are deleted; neither
     enters the join, where they would meet in one task.
 
+    The result has the target's columns, then those only the source has. A stored column
+    that the source lacks keeps its values, and is NULL in inserted rows; one that is new in
+    the source is NULL in kept rows. A column whose type differs is refused.
+
     With `delete_missing=False` nothing is deleted. With `delete_scope`, a DataFrame
     over some of the target's columns, only target rows found in it are; a source that
     is a part of the whole says nothing about the rest.
     """
     keys = require_keys(keys)
-    values = [c for c in source.columns if c not in keys] or keys
+    require_same_types(target, source)
+    columns = [*target.columns, *(c for c in source.columns if c not in target.columns)]
+    old_values = [c for c in columns if c not in keys] or keys
+    new_values = [c for c in source.columns if c not in keys] or keys
     old_only = _delete_action(delete_missing, delete_scope)
-    target = target.select(*source.columns)
+    target = with_columns_of(target, source)
     if delete_scope is not None:
         in_scope = delete_scope.distinct().withColumn("_in_scope", F.lit(True))
         target = target.join(in_scope, delete_scope.columns, "left")
         scope_flag = ["_in_scope"]
     else:
         scope_flag = []
-    old = _keyed(target, keys).select(*keys, F.struct(*values).alias("old"), *scope_flag)
-    new = _keyed(source, keys).select(*keys, F.struct(*values).alias("new"))
+    old = with_keys(target, keys).select(*keys, F.struct(*old_values).alias("old"), *scope_flag)
+    new = with_keys(source, keys).select(*keys, F.struct(*new_values).alias("new"))
     both = old.join(new, keys, "full_outer")
     action = (
         F.when(F.col("old").isNull(), F.lit(INSERT))
         .when(F.col("new").isNull(), old_only)
-        .when(changed("old", "new", values, ignore_columns, null_safe), F.lit(UPDATE))
+        .when(changed("old", "new", new_values, ignore_columns, null_safe), F.lit(UPDATE))
         .otherwise(F.lit(SAME))
     )
 
     def value(column: str) -> Column:
+        if column not in new_values:
+            return F.col("old")[column].alias(column)
         first, second = ("old", "new") if column in ignore_columns else ("new", "old")
         return (
             F.when(F.col(first).isNull(), F.col(second)[column])
@@ -97,9 +107,8 @@ def classify(
             .alias(column)
         )
 
-    columns = [F.col(c) if c in keys else value(c) for c in source.columns]
-    rows = both.select(*columns, action.alias(ACTION))
-    unmatched = null_keyed(target, keys).select(*source.columns, old_only.alias(ACTION))
+    rows = both.select(*[F.col(c) if c in keys else value(c) for c in columns], action.alias(ACTION))
+    unmatched = null_keyed(target, keys).select(*columns, old_only.alias(ACTION))
     return rows.unionByName(unmatched)
 
 
@@ -171,4 +180,20 @@ def rows_changed(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def append_rows(target: DataFrame, source: DataFrame) -> DataFrame:
-    return target.unionByName(source)
+    """All rows of both; a column that one side lacks is NULL there."""
+    require_same_types(target, source)
+    return with_columns_of(target, source).unionByName(source, allowMissingColumns=True)
+
+
+def require_same_types(target: DataFrame, source: DataFrame) -> None:
+    """Raise if a column that both have changes its type."""
+    stored = dict(target.dtypes)
+    for name, kind in source.dtypes:
+        if stored.get(name, kind) != kind:
+            raise ValueError(f"column {name} is {stored[name]} in the table and {kind} in the source")
+
+
+def with_columns_of(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The target with NULLs for the columns only the source has."""
+    missing = [f for f in source.schema if f.name not in target.columns]
+    return target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else target

@@ -17,8 +17,9 @@ from flowatlas.operators.changes import (
     classify,
     count_columns,
     null_keyed,
+    with_keys,
 )
-from flowatlas.operators.quality import check_unique, duplicate_keys
+from flowatlas.operators.quality import check_unique, dedupe_by_key, duplicate_keys
 from flowatlas.plans.naming import dataset_name
 from flowatlas.plans.together import run_together
 from flowatlas.schemas import TABLE_KEYS
@@ -53,14 +54,16 @@ def sync_table(
     batch_id: int | None = None,
     day_column: str | None = None,
     buckets: int | None = None,
+    stream_id: str | None = None,
 ) -> SyncResult:
     """Write the next version of the table at `path`.
 
-    Order: keys are checked, NULL keys set aside, both sides joined once, the result
-    written once. The counts are observed on the rows as they are written.
+    Order: keys are checked, NULL keys set aside (by every strategy), both sides joined
+    once, the result written once. The counts are observed on the rows as they are written.
 
     `day_column` partitions the files by the day of a timestamp; `buckets` buckets them
-    by the keys, and a table that is bucketed stays so.
+    by the keys. A table keeps the layout it has. Stored keys may repeat after an append or
+    a plain write; the next upsert keeps the first row of each, by its other columns.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {STRATEGIES}, not {strategy!r}")
@@ -70,7 +73,10 @@ def sync_table(
     else:
         unique, duplicates = check_unique(source, keys, on_duplicate, order_by)
     rejected = null_keyed(source, keys)
+    unique = with_keys(unique, keys)
     entry = snapshots.latest_entry(spark, path)
+    if entry is not None and not buckets and not day_column:
+        day_column = entry["day_column"]
     layout = snapshots.Buckets(buckets, list(keys)) if buckets else snapshots.buckets_of(entry)
     if layout and day_column:
         raise ValueError("a table is either bucketed or partitioned by day")
@@ -79,33 +85,42 @@ def sync_table(
         target = source.limit(0)
     else:
         target = snapshots.read_entry(spark, path, entry)
+    if entry is not None and strategy == "upsert" and entry["operation"] != "upsert":
+        stored = dedupe_by_key(with_keys(target, keys), keys)
+        target = stored.unionByName(null_keyed(target, keys))
     if strategy == "upsert":
         changes = classify(
             target, unique, keys, ignore_columns, null_safe, delete_missing, delete_scope
         )
     elif strategy == "append":
-        kept = target.select(*source.columns).withColumn(ACTION, F.lit(SAME))
+        kept = target.withColumn(ACTION, F.lit(SAME))
         changes = append_rows(kept, unique.withColumn(ACTION, F.lit(INSERT)))
     else:
         changes = unique.withColumn(ACTION, F.lit(INSERT))
     if day_column:
         changes = snapshots.by_day(changes, day_column)
-    elif layout and entry is None:
+    elif layout and (entry is None or strategy != "upsert"):
         changes = changes.repartition(layout.count, *layout.keys)
     version = 0 if entry is None else entry["version"] + 1
-    counts = _write_counted(changes, path, version, layout)
-    snapshots.commit_version(spark, path, version, strategy, counts, run_ts, batch_id, layout)
+    counts = _write_counted(changes, path, version, layout, day_column)
+    snapshots.commit_version(
+        spark, path, version, strategy, counts, run_ts, batch_id, layout, stream_id, day_column
+    )
     return SyncResult(path, version, counts, rejected, duplicates)
 
 
 def _write_counted(
-    changes: DataFrame, path: str, version: int, layout: snapshots.Buckets | None
+    changes: DataFrame,
+    path: str,
+    version: int,
+    layout: snapshots.Buckets | None,
+    day_column: str | None,
 ) -> dict[str, int]:
     # Nothing is shuffled between the observation and the write, so the counts come
     # from the tasks that commit the files, each taken once however often it is retried.
     seen = Observation()
     observed = changes.observe(seen, *count_columns())
-    snapshots.write_data(apply_changes(observed), path, version, layout)
+    snapshots.write_data(apply_changes(observed), path, version, layout, day_column)
     return {name: int(seen.get[name]) for name in snapshots.COUNTS}
 
 

@@ -1,5 +1,6 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -34,7 +35,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

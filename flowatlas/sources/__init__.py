@@ -4,7 +4,6 @@ from flowatlas.sources.documents import (
     json_files,
     list_files,
     read_documents,
-    spread,
 )
 from flowatlas.sources.parse import (
     parse_documents,
@@ -15,8 +14,10 @@ from flowatlas.sources.parse import (
 )
 from flowatlas.sources.snapshots import (
     create_if_absent,
+    drop_versions,
     history,
     latest_version,
+    read_days,
     read_snapshot,
     write_snapshot,
 )
@@ -24,17 +25,18 @@ from flowatlas.sources.snapshots import (
 __all__ = [
     "create_if_absent",
     "document_profile",
+    "drop_versions",
     "filter_paths",
     "history",
     "json_files",
     "latest_version",
     "list_files",
     "parse_documents",
+    "read_days",
     "read_documents",
     "read_snapshot",
     "rejected_documents",
     "require_valid",
-    "spread",
     "stage",
     "valid_documents",
     "write_snapshot",

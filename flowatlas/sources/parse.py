@@ -19,7 +19,7 @@ The record is computed by one expression inside one generator. Filters on its co
 cannot be pushed below a generator, so the JSON text is parsed once per row.
 """
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -140,29 +140,25 @@ def _depends(activity: Column) -> Column:
     return F.coalesce(activity["dependsOn"], F.array())
 
 
-# Key that follows a document when it is read as the value of an object; see below.
-_END = "end of the document"
-# Columns computed below the generator, where expressions are compiled. The keys have a
-# column of their own: they are used three times and must be read once.
-_KEYS, _WHOLE = "_keys", "_whole"
+# Column computed below the generator, where expressions are compiled.
+_WHOLE = "_whole"
 
 
-def _enclosing_keys(text: Column) -> Column:
-    """Keys of an object that holds the document and one key after it.
+def _ends_with_object(text: Column) -> Column:
+    """True when nothing but space follows the first JSON value.
 
-    The parser of the document stops at the end of the object. Here more text, or a
-    bracket too many, breaks the enclosing object or hides the second key. Only keys
-    are read, which skips over the values.
+    The parser of the document stops at the end of the object. Here the text stands in an
+    array with its own digest after it: more text, or a bracket too many, gives another
+    number of elements or no array, and no text can hold its own digest.
     """
-    return F.json_object_keys(F.concat(F.lit('{"document":'), text, F.lit(f',"{_END}":0}}')))
-
+    def whole(digest: Column) -> Column:
+        enclosed = F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]'))
+        return let(
+            F.from_json(enclosed, "array<string>"),
+            lambda found: (F.size(found) == 2) & (F.element_at(found, -1) == digest),
+        )
 
-def _ends_with_object(text: Column, keys: Column) -> Column:
-    """True when nothing but space follows the first JSON object."""
-    complete = (F.size(keys) == 2) & (F.element_at(keys, -1) == _END)
-    # Reading keys does not accept NaN and Infinity, which the documents may hold.
-    unusual = text.rlike("NaN|Infinity") & text.rlike(r"\}\s*$")
-    return F.when(keys.isNull(), unusual).otherwise(complete)
+    return F.coalesce(let(F.sha2(text, 256), whole), F.lit(False))
 
 
 def _failure(parsed: Column, activities: Column, nodes: Column, names: Column) -> Column:
@@ -218,9 +214,12 @@ def parse_documents(
     documents: DataFrame,
     include_types: Iterable[str] | None = DEFAULT_TYPES,
     inline_bytes: int | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Parse `(path, value)` rows; see the module text for the result.
 
+    Columns named by `carry` stay beside the record.
+
     `include_types=None` keeps every activity type; an empty list means the defaults.
     Set `inline_bytes` when the result is going to be staged: readers then take a second
     look at the large documents, which costs nothing on a staged table and a further
@@ -230,7 +229,7 @@ def parse_documents(
     if include is not None:
         include = list(include) or DEFAULT_TYPES
     inline = None
-    columns = ["path", "document_bytes"]
+    columns = ["path", "document_bytes", *carry]
     if inline_bytes is not None:
         inline = F.coalesce(F.col("document_bytes") <= inline_bytes, F.lit(True))
         key = F.concat_ws("#", "path", F.sha2("value", 256))
@@ -242,10 +241,9 @@ def parse_documents(
     sized = documents.withColumns(
         {
             "document_bytes": F.octet_length("value").cast("bigint"),
-            _KEYS: _enclosing_keys(F.col("value")),
+            _WHOLE: _ends_with_object(F.col("value")),
         }
     )
-    sized = sized.withColumn(_WHOLE, _ends_with_object(F.col("value"), F.col(_KEYS)))
     return sized.select(*columns, F.inline(F.array(record)))
 
 
@@ -254,8 +252,12 @@ def valid_documents(parsed: DataFrame) -> DataFrame:
 
 
 def rejected_documents(parsed: DataFrame) -> DataFrame:
-    """The quarantine: `(path, failure)` of the documents that cannot be used."""
-    return parsed.filter("failure IS NOT NULL").select("path", "failure")
+    """The quarantine: `(path, failure)` of the documents that cannot be used.
+
+    With a carried `digest` of the text that comes along: it tells the lines of a file apart.
+    """
+    known = [c for c in ("path", "digest", "failure") if c in parsed.columns]
+    return parsed.filter("failure IS NOT NULL").select(*known)
 
 
 def require_valid(parsed: DataFrame) -> DataFrame:

@@ -14,19 +14,20 @@ so every bucketed version is an external table of the current database as well.
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 HISTORY = (
-    "operation STRING, run_ts TIMESTAMP, batch_id BIGINT, inserted BIGINT, updated BIGINT, "
-    "deleted BIGINT, unchanged BIGINT, bucket_count INT, bucket_keys ARRAY<STRING>, "
-    "version BIGINT"
+    "operation STRING, run_ts TIMESTAMP, stream_id STRING, batch_id BIGINT, inserted BIGINT, "
+    "updated BIGINT, deleted BIGINT, unchanged BIGINT, bucket_count INT, "
+    "bucket_keys ARRAY<STRING>, day_column STRING, version BIGINT"
 )
 COUNTS = ["inserted", "updated", "deleted", "unchanged"]
-DAY = "by_day"
+# Private partition column of a table that is partitioned by day.
+DAY = "_partition_day"
 
 
 @dataclass(frozen=True)
@@ -69,15 +70,18 @@ def buckets_of(entry: Row | None) -> Buckets | None:
     return Buckets(entry["bucket_count"], entry["bucket_keys"])
 
 
-def last_batch(spark: SparkSession, table: str) -> int | None:
-    """Highest micro-batch number already written, or None."""
-    return history(spark, table).agg(F.max("batch_id")).first()[0]
+def last_batch(spark: SparkSession, table: str, stream_id: str | None = None) -> int | None:
+    """Highest micro-batch number of this stream already written, or None."""
+    own = history(spark, table).filter(F.col("stream_id").eqNullSafe(F.lit(stream_id)))
+    return own.agg(F.max("batch_id")).first()[0]
 
 
-def version_before_batch(spark: SparkSession, table: str, batch_id: int) -> int | None:
-    """Newest version that does not come from this micro-batch, or None."""
-    earlier = history(spark, table).filter(~F.col("batch_id").eqNullSafe(batch_id))
-    return earlier.agg(F.max("version")).first()[0]
+def version_before_batch(
+    spark: SparkSession, table: str, batch_id: int, stream_id: str | None = None
+) -> int | None:
+    """Newest version that does not come from this micro-batch of this stream, or None."""
+    own = F.col("batch_id").eqNullSafe(batch_id) & F.col("stream_id").eqNullSafe(F.lit(stream_id))
+    return history(spark, table).filter(~own).agg(F.max("version")).first()[0]
 
 
 def read_snapshot(
@@ -103,9 +107,19 @@ def read_entry(spark: SparkSession, table: str, entry: Row, keep_day: bool = Fal
     return rows if keep_day else rows.drop(DAY)
 
 
+def read_days(
+    spark: SparkSession, table: str, first: date, last: date, version: int | None = None
+) -> DataFrame:
+    """Rows of a version whose day lies in the range; other days' files are not read."""
+    rows = read_snapshot(spark, table, version, keep_day=True)
+    if DAY not in rows.columns:
+        raise ValueError(f"{table} is not partitioned by day")
+    return rows.filter(F.col(DAY).between(F.lit(first), F.lit(last))).drop(DAY)
+
+
 def columns_ddl(schema: StructType) -> str:
-    """Column list of a CREATE TABLE statement."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    """Column list of a CREATE TABLE statement, names quoted at every depth."""
+    return schema.toDDL()
 
 
 def _catalog_name(path: str) -> str:
@@ -131,11 +145,13 @@ def by_day(df: DataFrame, column: str) -> DataFrame:
     The rebalance lets AQE split a day that is too large for one task and merge small
     ones, instead of every task writing a file per day.
     """
+    if DAY in df.columns:
+        raise ValueError(f"the name {DAY} is taken for the partition column")
     return df.withColumn(DAY, F.to_date(column)).hint("rebalance", DAY)
 
 
 def write_data(
-    df: DataFrame, table: str, version: int, buckets: Buckets | None = None
+    df: DataFrame, table: str, version: int, buckets: Buckets | None = None, day_column: str | None = None
 ) -> None:
     path = data_path(table, version)
     writer = df.write.mode("overwrite")
@@ -146,7 +162,7 @@ def write_data(
         bucketed = writer.format("parquet").bucketBy(buckets.count, *buckets.keys)
         bucketed.option("path", path).saveAsTable(name)
         return
-    if DAY in df.columns:
+    if day_column:
         writer = writer.partitionBy(DAY)
     writer.parquet(path)
 
@@ -160,15 +176,19 @@ def commit_version(
     run_ts: datetime | None = None,
     batch_id: int | None = None,
     buckets: Buckets | None = None,
+    stream_id: str | None = None,
+    day_column: str | None = None,
 ) -> None:
-    """Write the history row that makes `version` visible."""
+    """Write the history row that makes `version` visible; without `run_ts` it has the time now."""
     values = {
         "operation": F.lit(operation),
-        "run_ts": F.lit(run_ts).cast("timestamp"),
+        "run_ts": F.coalesce(F.lit(run_ts).cast("timestamp"), F.current_timestamp()),
+        "stream_id": F.lit(stream_id).cast("string"),
         "batch_id": F.lit(batch_id).cast("bigint"),
         **{name: F.lit(counts.get(name)).cast("bigint") for name in COUNTS},
         "bucket_count": F.lit(buckets.count if buckets else None).cast("int"),
         "bucket_keys": F.array(*map(F.lit, buckets.keys)) if buckets else F.lit(None),
+        "day_column": F.lit(day_column).cast("string"),
     }
     entry = spark.range(0, 1, 1, 1).select(*[c.alias(name) for name, c in values.items()])
     entry = entry.withColumn("bucket_keys", F.col("bucket_keys").cast("array<string>"))
@@ -186,11 +206,32 @@ def write_snapshot(
     spark = df.sparkSession
     current = latest_version(spark, table)
     version = 0 if current is None else current + 1
-    write_data(by_day(df, day_column) if day_column else df, table, version)
-    commit_version(spark, table, version, operation, {}, run_ts)
+    write_data(by_day(df, day_column) if day_column else df, table, version, None, day_column)
+    commit_version(spark, table, version, operation, {}, run_ts, day_column=day_column)
     return version
 
 
+def drop_versions(spark: SparkSession, table: str, before: int) -> None:
+    """Remove the versions below `before`; the newest one always stays.
+
+    A version's history row goes first, so no reader finds one whose data is gone.
+    """
+    newest = latest_version(spark, table)
+    if newest is None:
+        return
+    old = history(spark, table).filter(F.col("version") < min(before, newest)).select("version")
+    for row in old.collect():  # one row for each version
+        delete_folder(spark, f"{table}/history/version={row['version']}")
+        path = data_path(table, row["version"])
+        spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(path)}")
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def create_if_absent(df: DataFrame, table: str, **options) -> int:
     """Write `df` as version 0 unless the table exists; return the newest version."""
     current = latest_version(df.sparkSession, table)

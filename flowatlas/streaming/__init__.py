@@ -1,3 +1,8 @@
-from flowatlas.streaming.arrivals import ingest_arrivals, sync_batch
+from flowatlas.streaming.arrivals import (
+    arrival_summary,
+    ingest_arrivals,
+    rejected_arrivals,
+    sync_batch,
+)
 
-__all__ = ["ingest_arrivals", "sync_batch"]
+__all__ = ["arrival_summary", "ingest_arrivals", "rejected_arrivals", "sync_batch"]

@@ -257,6 +257,10 @@ def test_failures(spark):
         ('{"name": "p"}}', "text after the object"),
         ('{"name": "p"}]}', "text after the object"),
         ('{"name": "p", "n": NaN} x', "text after the object"),
+        ('{"name": "p", "d": "NaN"} x}', "text after the object"),
+        ('{"name": "Infinity"}, {"name": "q"}', "text after the object"),
+        ('{"name": "p"},"end of the document":0}', "text after the object"),
+        ('{"name": "p"},"0123456789abcdef"]', "text after the object"),
         ("{}", "missing name"),
         ('{"name": ""}', "missing name"),
         ('{"name": null}', "missing name"),

@@ -7,7 +7,7 @@ import pytest
 from flowatlas import plans, sources
 from flowatlas.plans.naming import dataset_name
 from flowatlas.sources import snapshots
-from flowatlas.streaming import ingest_arrivals, sync_batch
+from flowatlas.streaming import ingest_arrivals, rejected_arrivals, sync_batch
 
 RUN_TS = datetime(2024, 1, 1)
 
@@ -37,7 +37,13 @@ def table(spark, root, name):
 
 
 def run(spark, root, **options):
-    ingest_arrivals(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint", run_ts=RUN_TS, **options)
+    checkpoint = options.pop("checkpoint", f"{root}/checkpoint")
+    return ingest_arrivals(spark, f"{root}/landing", f"{root}/tables", checkpoint, run_ts=RUN_TS, **options)
+
+
+def stream_id(root):
+    with open(f"{root}/checkpoint/metadata") as file:
+        return json.load(file)["id"]
 
 
 def versions(spark, root):
@@ -75,8 +81,9 @@ def test_arrivals_replace_only_their_own_workflows(spark, ingested):
         {("p", "a"), ("p", "c"), ("q", "x"), ("q", "y"), ("r", "z")},
         {("a", "c"), ("x", "y")},
     )
-    bad = sources.rejected_documents(spark.read.parquet(f"{ingested}/tables/staging")).collect()
-    assert [os.path.basename(r.path) for r in bad] == ["second-2.json"]
+    bad = rejected_arrivals(spark, f"{ingested}/tables").collect()
+    assert [(os.path.basename(r.path), r.batch, len(r.digest)) for r in bad] == [("second-2.json", 1, 64)]
+    assert not [f for _, _, files in os.walk(f"{ingested}/tables/staging") for f in files]
 
 
 def test_run_without_arrivals_writes_nothing(spark, ingested):
@@ -88,7 +95,7 @@ def test_run_without_arrivals_writes_nothing(spark, ingested):
 def test_replayed_batch_is_skipped(spark, ingested):
     before, content = versions(spark, ingested), state(spark, ingested)
     documents = spark.createDataFrame([("/d", json.dumps(workflow("p")))], "path STRING, value STRING")
-    sync_batch(documents, 1, f"{ingested}/tables")
+    sync_batch(documents, 1, f"{ingested}/tables", stream_id=stream_id(ingested))
     assert (versions(spark, ingested), state(spark, ingested)) == (before, content)
 
 
@@ -127,3 +134,26 @@ def test_lines_and_bounded_batches(spark, folder):
     run(spark, folder, per_line=True, max_files=1)
     assert versions(spark, folder) == {n: 2 for n in versions(spark, folder)}
     assert table(spark, folder, "activities_df").count() == 12
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_newest_document_of_a_workflow_counts(spark, folder, max_files):
+    landing = f"{folder}/landing"
+    land(landing, "late-name-old-time", workflow("p", ("a", []), ("b", ["a"])))
+    land(landing, "early-name-new-time", workflow("p", ("a", [])))
+    os.utime(f"{landing}/late-name-old-time-0.json", (1_700_000_000, 1_700_000_000))
+    os.utime(f"{landing}/early-name-new-time-0.json", (1_700_000_100, 1_700_000_100))
+    run(spark, folder, max_files=max_files)
+    assert state(spark, folder) == ({"p"}, {("p", "a")}, set())
+
+
+def test_second_stream_skips_nothing(spark, folder):
+    land(f"{folder}/landing", "one", workflow("p", ("a", [])))
+    first = run(spark, folder)
+    land(f"{folder}/landing", "two", workflow("q", ("x", [])))
+    second = run(spark, folder, checkpoint=f"{folder}/other")
+    assert state(spark, folder)[0] == {"p", "q"}
+    names = {"pipelines_df", "activities_df", "dependencies_df"}
+    assert {r.table for r in first.collect()} == {r.table for r in second.collect()} == names
+    inserted = {r.table: r.inserted for r in second.collect()}
+    assert inserted["pipelines_df"] == 1 and all(r.run_ts for r in second.collect())

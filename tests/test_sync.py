@@ -1,5 +1,5 @@
 import os
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,11 +160,57 @@ def test_strategies(spark, folder):
         plans.sync_table(second, folder, ["id"], strategy="merge")
 
 
-def test_column_order_of_the_source_decides(spark, folder):
+def test_column_order_of_the_table_stays(spark, folder):
     plans.sync_table(rows(spark, FIRST, ("1", "A")), folder, ["id"])
     swapped = rows(spark, FIRST, ("1", "B")).select("value", "CreatedDate", "id")
     plans.sync_table(swapped, folder, ["id"])
-    assert stored(spark, folder) == [("B", FIRST, "1")]
+    assert stored(spark, folder) == [("1", "B", FIRST)]
+
+
+def test_columns_of_either_side_stay(spark, folder):
+    plans.sync_table(rows(spark, FIRST, ("1", "A"), ("2", "B")), folder, ["id"])
+    source = spark.createDataFrame([("1", "x"), ("3", "y")], "id STRING, note STRING")
+    plans.sync_table(source, folder, ["id"], delete_missing=False)
+    found = sources.read_snapshot(spark, folder)
+    assert found.columns == ["id", "value", "CreatedDate", "note"]
+    assert sorted((r.id, r.value, r.note) for r in found.collect()) == [
+        ("1", "A", "x"), ("2", "B", None), ("3", None, "y"),
+    ]
+    with pytest.raises(ValueError, match="note"):
+        plans.sync_table(source.withColumn("note", F.lit(1)), folder, ["id"])
+
+
+@pytest.mark.parametrize("strategy", ["upsert", "append", "replace"])
+def test_null_keys_are_set_aside_by_every_strategy(spark, folder, strategy):
+    source = rows(spark, FIRST, ("1", "A"), (None, "X"))
+    result = plans.sync_table(source, folder, ["id"], strategy=strategy)
+    assert stored(spark, folder) == [("1", "A", FIRST)] and result.null_keyed.count() == 1
+
+
+def test_append_to_buckets_writes_a_file_for_each(spark, folder):
+    source = rows(spark, FIRST, *[(str(i), "A") for i in range(200)])
+    plans.sync_table(source, folder, ["id"], buckets=4)
+    for number, strategy in enumerate(["append", "replace"], 1):
+        plans.sync_table(source.repartition(16), folder, ["id"], strategy=strategy)
+        files = [f for f in os.listdir(f"{folder}/data/version={number}") if f.endswith(".parquet")]
+        assert len(files) == 4
+
+
+def test_nested_names_in_a_bucketed_table(spark, folder):
+    source = spark.sql("SELECT '1' AS id, named_struct('x y', 1, 'z', array(named_struct('a-b', 2))) AS s")
+    plans.sync_table(source, folder, ["id"], buckets=2)
+    spark.sql(f"DROP TABLE {snapshots._catalog_name(snapshots.data_path(folder, 0))}")
+    assert stored(spark, folder) == content(source)
+
+
+def test_old_versions_are_dropped(spark, folder):
+    source = rows(spark, FIRST, ("1", "A"))
+    for _ in range(3):
+        plans.sync_table(source, folder, ["id"])
+    sources.drop_versions(spark, folder, before=99)
+    assert os.listdir(f"{folder}/data") == ["version=2"]
+    assert stored(spark, folder) == content(source)
+    assert plans.sync_table(source, folder, ["id"]).version == 3
 
 
 def test_version_without_history_is_invisible(spark, folder):
@@ -195,11 +241,23 @@ def test_history(spark, folder):
 def test_partition_by_day(spark, folder):
     source = rows(spark, FIRST, ("1", "A")).union(rows(spark, SECOND, ("2", "B")))
     plans.sync_table(source, folder, ["id"], day_column="CreatedDate")
-    days = [d for d in os.listdir(f"{folder}/data/version=0") if d.startswith("by_day=")]
-    assert sorted(days) == ["by_day=2024-01-01", "by_day=2024-02-01"]
+    days = [d for d in os.listdir(f"{folder}/data/version=0") if d.startswith("_partition_day=")]
+    assert sorted(days) == ["_partition_day=2024-01-01", "_partition_day=2024-02-01"]
     assert stored(spark, folder) == content(source)
-    result = plans.sync_table(source, folder, ["id"], day_column="CreatedDate")
-    assert counts(result) == (0, 0, 0, 2)
+    result = plans.sync_table(source, folder, ["id"])
+    assert counts(result) == (0, 0, 0, 2) and sorted(os.listdir(f"{folder}/data/version=1"))[:2] != []
+    days = sources.read_days(spark, folder, date(2024, 1, 15), date(2024, 3, 1))
+    assert content(days) == content(source.filter("id = '2'"))
+    assert "PartitionFilters: [isnotnull(_partition_day" in days._jdf.queryExecution().executedPlan().toString()
+
+
+def test_user_column_named_like_a_day(spark, folder):
+    source = rows(spark, FIRST, ("1", "A")).withColumn("by_day", F.lit("mine"))
+    plans.sync_table(source, folder, ["id"], day_column="CreatedDate")
+    assert content(sources.read_snapshot(spark, folder)) == content(source)
+    with pytest.raises(ValueError, match="taken"):
+        taken = rows(spark, FIRST, ("1", "A")).withColumn(snapshots.DAY, F.lit("mine"))
+        plans.sync_table(taken, f"{folder}/other", ["id"], day_column="CreatedDate")
 
 
 def test_sync_all_and_summaries(spark, folder):
@@ -215,11 +273,11 @@ def test_sync_all_and_summaries(spark, folder):
 
 
 def test_profile(spark):
-    df = spark.createDataFrame([(1, "Alice"), (2, "Bob"), (3, None)], "ID BIGINT, Name STRING")
-    row = ops.profile(df, "people").first()
-    assert (row.label, row.n_rows, row.n_columns, row.text_chars) == ("people", 3, 2, 8)
-    assert row.json_bytes == len('{"ID":1,"Name":"Alice"}{"ID":2,"Name":"Bob"}{"ID":3}')
-    assert row.schema == "struct<ID:bigint,Name:string>"
+    df = spark.createDataFrame([(7, "north"), (8, "sea"), (9, None)], "k BIGINT, place STRING")
+    row = ops.profile(df, "places").first()
+    assert (row.label, row.n_rows, row.n_columns, row.text_chars) == ("places", 3, 2, 8)
+    assert row.json_bytes == len('{"k":7,"place":"north"}{"k":8,"place":"sea"}{"k":9}')
+    assert row.schema == "struct<k:bigint,place:string>"
     assert ops.profile(df.limit(0), "none").first().n_rows == 0
 
 
