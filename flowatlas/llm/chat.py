@@ -15,7 +15,7 @@ becomes `%3C|`. The loss mask lists the assistant texts' places in the formatted
 code points.
 
 Built-in functions only. A message whose parent is null or absent is a root. Messages that
-answer each other in a circle have no root and stand in no path. A null text or role is the
+answer each other in a circle have no root; they, and answers to them, stand in no path. A null text or role is the
 empty string. Rows with a null tree form a tree of their own. Ids must be unique in a tree;
 of repeated ones the smallest (role, text) stays. An empty table gives no conversations.
 """
@@ -35,26 +35,30 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("%3C"), F.lit("<")), F.lit("%25"), F.lit("%"))
 
 
-def paths(nodes: DataFrame, max_rounds: int = 40) -> DataFrame:
+def paths(nodes: DataFrame) -> DataFrame:
     """(tree, leaf, node, up): every message of every path, `up` replies above the leaf.
 
     `nodes` has tree, node and parent, unique by tree and node, no nulls but in parent.
     """
     known = nodes.select("tree", F.col("node").alias("parent"))
-    jump = nodes.filter("parent IS NOT NULL").join(known, ["tree", "parent"], "left_semi")
-    jump = cut_lineage(jump.select("tree", "node", F.col("parent").alias("above")))
-    answered = jump.select("tree", F.col("above").alias("node")).distinct()
-    leaves = nodes.join(answered, ["tree", "node"], "left_anti")
+    answers = nodes.filter("parent IS NOT NULL").join(known, ["tree", "parent"], "left_semi")
+    jumps = [cut_lineage(answers.select("tree", "node", F.col("parent").alias("above")))]
+    largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    # jumps[k]: the ancestor 2^k replies up; no root is further away than the tree is large
+    while jumps[-1].limit(1).count() and 1 << (len(jumps) - 1) < largest:
+        after = jumps[-1].select("tree", F.col("node").alias("above"), F.col("above").alias("next"))
+        step = jumps[-1].join(after, ["tree", "above"]).select("tree", "node", F.col("next").alias("above"))
+        jumps.append(cut_lineage(step))
+    # who has an ancestor as many replies up as the tree has messages has come upon a circle
+    lost = jumps.pop().select("tree", "node")
+    answered = answers.select("tree", F.col("parent").alias("node")).distinct()
+    leaves = nodes.join(answered, ["tree", "node"], "left_anti").join(lost, ["tree", "node"], "left_anti")
     members = cut_lineage(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up")))
-    for k in range(max_rounds):
+    for k, jump in enumerate(jumps):
         more = members.join(jump, ["tree", "node"])
         grown = more.select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + (1 << k)).alias("up"))
-        if grown.limit(1).count() == 0:
-            return members
         members = cut_lineage(members.unionAll(grown))
-        after = jump.select("tree", F.col("node").alias("above"), F.col("above").alias("next"))
-        jump = cut_lineage(jump.join(after, ["tree", "above"]).select("tree", "node", F.col("next").alias("above")))
-    raise RuntimeError(f"paths of over 2^{max_rounds} messages")
+    return members
 
 
 def conversations(
