@@ -27,6 +27,8 @@ SLOTS = 1 << 16
 LETTER = np.array([chr(b).isalpha() if b < 0x80 else True for b in range(256)])
 ANY_LETTER = re.compile(r"[^\W\d_]")
 BLOCK = 1 << 20
+#: Characters of the texts that are labelled together; a longer text is on its own.
+PIECE = 1 << 21
 RESULT = "struct<lang_pred:string,score:double,segments:array<struct<lang:string,words:long>>>"
 
 
@@ -252,6 +254,25 @@ def label_texts(model: Model, texts: list[str | None]) -> tuple[list[str], np.nd
     return found, np.clip(share, 0.0, 1.0), segments
 
 
+def label_batch(model: Model, texts: list[str | None]):
+    """`label_texts` over pieces of bounded size, texts of like length together."""
+    order = sorted(range(len(texts)), key=lambda k: -len(texts[k] or ""))
+    langs, scores, segments = ["und"] * len(texts), np.zeros(len(texts)), [None] * len(texts)
+    at = 0
+    while at < len(order):
+        end, size = at, 0
+        while end < len(order) and (end == at or size < PIECE):
+            size += len(texts[order[end]] or "")
+            end += 1
+        some = order[at:end]
+        found = label_texts(model, [texts[k] for k in some])
+        for i, k in enumerate(some):
+            langs[k], segments[k] = found[0][i], found[2][i]
+        scores[some] = found[1]
+        at = end
+    return langs, scores, segments
+
+
 def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:
     """Each row with a struct of its language, score and segments."""
     names, tables, step = model.names, model.tables, model.step
@@ -261,7 +282,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
         kind = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
 
         def batch(texts: pa.Array) -> pa.Array:
-            langs, scores, segments = label_texts(own, texts.to_pylist())
+            langs, scores, segments = label_batch(own, texts.to_pylist())
             offsets = np.cumsum([0, *(len(a) for a, _ in segments)]).astype(np.int32)
             labels = np.concatenate([a for a, _ in segments] or [np.empty(0, np.int64)]).astype(np.int64)
             words = np.concatenate([b for _, b in segments] or [np.empty(0, np.int64)]).astype(np.int64)
