@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, worker_store
+from flowatlas.llm.common import arrow_function, bound_batches, worker_store
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 OUTSIDE_LATIN = re.compile("[^\t\n\r\x20-\x7e¡-§©«®°±¶·»¿-ſ]")
@@ -266,6 +266,7 @@ def encode(
 
         return batch
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(into, arrow_function(make, "array<int>")(F.col(text)))
 
 
@@ -298,4 +299,5 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded",
 
         return batch
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(into, arrow_function(make, "string")(F.col(ids)))

@@ -25,6 +25,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a Python worker holds at a time. Texts differ in length, so the default of 10,000
+#: would tie its memory to the longest ones.
+BATCH_ROWS = 2500
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Send no more than BATCH_ROWS rows at a time to Python workers of this session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def arrow_function(make: Callable[[], Callable[[pa.Array], pa.Array]], returns: str):
     """A Spark function of one column; `make` runs once a task and gives the batch function."""
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, held_out, sampled, struct_array
+from flowatlas.llm.common import arrow_function, bound_batches, held_out, sampled, struct_array
 
 SLOTS = 1 << 16
 LETTER = np.array([chr(b).isalpha() if b < 0x80 else True for b in range(256)])
@@ -294,6 +294,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
 
         return batch
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(into, arrow_function(make, RESULT)(F.col(text)))
 
 

@@ -21,7 +21,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowatlas.llm.common import LOWER_BYTES, arrow_function, struct_array
+from flowatlas.llm.common import LOWER_BYTES, arrow_function, bound_batches, struct_array
 
 BASE_PHRASES = {
     "under the mit license": "mit",
@@ -209,6 +209,7 @@ def scan_licenses(
 
         return scan
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(into, arrow_function(make, f"struct<{_fields(RESULT)}>")(F.col(text)))
 
 

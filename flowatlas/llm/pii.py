@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, sampled
+from flowatlas.llm.common import arrow_function, bound_batches, sampled
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
@@ -312,6 +312,7 @@ def find_personal_data(docs: DataFrame, field: Field, text: str = "text", into:
 
         return batch
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(into, arrow_function(make, RESULT)(F.col(text)))
 
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, sampled, struct_array
+from flowatlas.llm.common import arrow_function, bound_batches, sampled, struct_array
 
 SLOTS = 1 << 16
 BLOCK = 1 << 21
@@ -204,6 +204,7 @@ def score_quality(docs: DataFrame, model: Machine, text: str = "text", metadata:
         return struct_array({"score": (scores, pa.float64()), "predicted": (predicted, pa.int32())})
 
     columns = [F.col(text), *(F.col(m).cast("double") for m in metadata)]
+    bound_batches(docs.sparkSession)
     return docs.withColumn(into, _many(batch, len(columns))(*columns))
 
 

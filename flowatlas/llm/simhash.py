@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import MapType
 
-from flowatlas.llm.common import LOWER_BYTES, arrow_function, cut_lineage, sampled
+from flowatlas.llm.common import LOWER_BYTES, arrow_function, bound_batches, cut_lineage, sampled
 from flowatlas.llm.components import components
 
 BITS = 64
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, text: str = "text", into: str = "fp", words_ea
 
         return batch
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(into, arrow_function(make, "long")(F.col(text)))
 
 
