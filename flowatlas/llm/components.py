@@ -10,13 +10,14 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating stars: every node's larger neighbours, then its smaller ones, are linked to
     its smallest neighbour, until every link ends in a root. A node with very many links is
-    reduced to one value for each task before anything is shuffled by it. Rows with a null
-    end and loops count for nothing; a link may be given more than once and either way round.
+    reduced to one value for each task before anything is shuffled by it, and its links are
+    split over tasks where they meet that value. Rows with a null end and loops count for
+    nothing; a link may be given more than once and either way round.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = cut_lineage(edges.filter("a > b").distinct())
     for _ in range(max_rounds):
-        small = _star(edges, both_ways=True)
+        small = cut_lineage(_star(edges, both_ways=True))
         new = cut_lineage(_star(small, both_ways=False).distinct())
         changed = new.exceptAll(edges).limit(1).count()
         edges = new
@@ -35,6 +36,8 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
         near = near.unionAll(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
     least = near.groupBy("node").agg(F.min("other").alias("least"))
     least = least.withColumn("least", F.least("node", "least")) if both_ways else least
+    # as a table, so that both sides of the join are plain and Spark can split a hot node's links
+    least = cut_lineage(least)
     joined = near.join(least, "node")
     if both_ways:
         out = joined.filter("other > node").select(F.col("other").alias("a"), F.col("least").alias("b"))
