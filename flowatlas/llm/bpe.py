@@ -241,7 +241,7 @@ def encode(
     bits: int = 10,
     least: int = 256,
     most: int = 8192,
-    memory: int = 48 << 20,
+    memory: int = 24 << 20,
 ) -> DataFrame:
     """Each row with the token ids of its text.
 
