@@ -91,11 +91,15 @@ def workflow_structs(
         "year(o_orderdate) AS y",
         "month(o_orderdate) AS m",
     )
-    return columns.selectExpr(
+    # The last days of a month bring documents without activities: an empty list, no list,
+    # no properties.
+    day = "day(landed)"
+    listed = f"CASE {day} WHEN 28 THEN slice(acts, 1, 0) WHEN 29 THEN NULL ELSE acts END"
+    return columns.selectExpr("*", f"{activities} AS acts").selectExpr(
         "concat('/flows/', y, '/order_', k, '.json') AS path",
         "landed",
         f"{name} AS name",
-        f"named_struct('activities', {activities}) AS properties",
+        f"CASE WHEN {day} < 30 THEN named_struct('activities', {listed}) END AS properties",
     )
 
 

@@ -25,18 +25,19 @@ def _acts(where: str = "true", flow_prefix: str = "flow_", name: str = _BY_CUSTO
                CAST(left(o_orderpriority, 1) AS INT) AS n, year(o_orderdate) AS y,
                month(o_orderdate) AS m, {name} AS pname,
                sha256({name} || '|Pipeline') AS pid,
-               {_PATH} AS path
+               {_PATH} AS path, o_orderdate AS landed
         FROM orders WHERE {where}),
+    filled AS (SELECT * FROM base WHERE day(landed) < 28),
     steps AS (
-        SELECT base.*, i, (['ExecutePipeline', 'ExecuteDataFlow', 'Copy',
+        SELECT filled.*, i, (['ExecutePipeline', 'ExecuteDataFlow', 'Copy',
                             'DatabricksNotebook', 'Wait'])[(m + i) % 5 + 1] AS kind
-        FROM base, unnest(range(1, n + 1)) AS t(i)),
+        FROM filled, unnest(range(1, n + 1)) AS t(i)),
     acts AS (
         SELECT k, pname, pid, path, 0 AS pos, 'open' AS name, 'DatabricksNotebook' AS type,
                CASE st WHEN 'F' THEN '/Shared/' || p WHEN 'O' THEN ''
                        ELSE '/Shared/' || p || '/' END AS target,
                CAST([] AS VARCHAR[]) AS depends
-        FROM base
+        FROM filled
         UNION ALL
         SELECT k, pname, pid, path, i, 'step_' || i, kind,
                CASE kind
@@ -51,13 +52,13 @@ def _acts(where: str = "true", flow_prefix: str = "flow_", name: str = _BY_CUSTO
         UNION ALL
         SELECT k, pname, pid, path, n + 1, 'step_1', 'ExecuteDataFlow',
                '{flow_prefix}' || m, ['step_' || n]
-        FROM base WHERE st <> 'F'
+        FROM filled WHERE st <> 'F'
         UNION ALL
-        SELECT k, pname, pid, path, n + 2, 'open', 'Copy', NULL, ['step_1'] FROM base
+        SELECT k, pname, pid, path, n + 2, 'open', 'Copy', NULL, ['step_1'] FROM filled
         UNION ALL
-        SELECT k, pname, pid, path, n + 3, 'untyped', NULL, NULL, ['open'] FROM base
+        SELECT k, pname, pid, path, n + 3, 'untyped', NULL, NULL, ['open'] FROM filled
         UNION ALL
-        SELECT k, pname, pid, path, n + 4, NULL, 'DatabricksNotebook', NULL, ['open'] FROM base)
+        SELECT k, pname, pid, path, n + 4, NULL, 'DatabricksNotebook', NULL, ['open'] FROM filled)
     """
 
 
@@ -336,6 +337,13 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS FIRST,
             lang NULLS FIRST, source NULLS FIRST, n_chars NULLS FIRST) = 1""",
     "validate_all_tables": _from_extract(_validated()),
+    "dataframe_profile_bytes": """
+        SELECT 'customer' AS label, CAST(sum(strlen(
+            '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":'
+            || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}')) AS BIGINT) AS json_bytes
+        FROM customer""",
+    "list_landed_files": """
+        SELECT 'r_regionkey=' || r_regionkey AS folder, count(*) AS n_files FROM region GROUP BY 1""",
     "dataframe_profile": """
         SELECT 'conversations' AS label, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_columns,
                CAST(sum(coalesce(length(role), 0) + coalesce(length(text), 0)) AS BIGINT)

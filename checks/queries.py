@@ -59,6 +59,17 @@ def list_json_files(spark: SparkSession, sf: str) -> DataFrame:
     return listing.filter(sources.json_files(F.col("path"), F.col("is_folder"))).select("path")
 
 
+def list_landed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of JSON files for each region, beside files of another kind."""
+    folder = shared_folder(spark, "listing")
+    regions = table(spark, sf, "region").repartition(1)
+    regions.write.partitionBy("r_regionkey").json(folder)
+    regions.write.mode("append").partitionBy("r_regionkey").parquet(folder)
+    files = sources.list_files(spark, folder).filter("size > 0 AND modificationTime IS NOT NULL")
+    parent = F.element_at(F.split("path", "/"), -2).alias("folder")
+    return files.groupBy(parent).agg(F.count("*").alias("n_files"))
+
+
 def filter_files_glob(spark: SparkSession, sf: str) -> DataFrame:
     paths = table(spark, sf, "pages").select(F.concat("url", F.lit(".json")).alias("path"))
     return sources.filter_paths(paths, GLOB)
@@ -149,7 +160,9 @@ def conformed_schemas(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Edges by the types of their ends."""
-    edges = ops.dependencies(_parsed(spark, sf))
+    documents = fixtures.workflow_documents(table(spark, sf, "orders"))
+    tables, _ = plans.extract_all(spark, documents)
+    edges = tables["dependencies_df"]
     return edges.groupBy("DependencySourceType", "DependencyTargetType").agg(
         F.count("*").alias("n_edges")
     )
@@ -226,6 +239,11 @@ def dataframe_profile(spark: SparkSession, sf: str) -> DataFrame:
     return rows.drop("json_bytes", "schema")
 
 
+def dataframe_profile_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "customer").drop("c_acctbal")
+    return ops.profile(rows, "customer").select("label", "json_bytes")
+
+
 # --- comparison and sync -----------------------------------------------------------
 
 
@@ -551,6 +569,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         list_json_files,
+        list_landed_files,
         filter_files_glob,
         read_documents,
         document_profile,
@@ -574,6 +593,7 @@ QUERIES: dict[str, Query] = {
         validate_unique,
         validate_all_tables,
         dataframe_profile,
+        dataframe_profile_bytes,
         count_inserted,
         count_deleted,
         rows_changed_except,

@@ -90,6 +90,21 @@ def classify(
     old = with_keys(target, keys).select(*keys, F.struct(*old_values).alias("old"), *scope_flag)
     new = with_keys(source, keys).select(*keys, F.struct(*new_values).alias("new"))
     both = old.join(new, keys, "full_outer")
+    rows = decided(both, columns, keys, new_values, old_only, ignore_columns, null_safe)
+    unmatched = null_keyed(target, keys).select(*columns, old_only.alias(ACTION))
+    return rows.unionByName(unmatched)
+
+
+def decided(
+    both: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    new_values: Sequence[str],
+    old_only: Column,
+    ignore_columns: Sequence[str],
+    null_safe: bool,
+) -> DataFrame:
+    """Rows of keys with an `old` and a `new` struct as table columns with their change."""
     action = (
         F.when(F.col("old").isNull(), F.lit(INSERT))
         .when(F.col("new").isNull(), old_only)
@@ -107,9 +122,7 @@ def classify(
             .alias(column)
         )
 
-    rows = both.select(*[F.col(c) if c in keys else value(c) for c in columns], action.alias(ACTION))
-    unmatched = null_keyed(target, keys).select(*columns, old_only.alias(ACTION))
-    return rows.unionByName(unmatched)
+    return both.select(*[F.col(c) if c in keys else value(c) for c in columns], action.alias(ACTION))
 
 
 def _delete_action(delete_missing: bool, delete_scope: DataFrame | None) -> Column:

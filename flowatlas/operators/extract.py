@@ -162,8 +162,13 @@ def _edges(parsed: DataFrame) -> DataFrame:
     return rows.unionByName(_repeat(large))
 
 
-def dependencies(parsed: DataFrame, run_ts: datetime | None = None) -> DataFrame:
-    """One row per distinct edge of a document, between included activities."""
+def dependencies(
+    parsed: DataFrame, run_ts: datetime | None = None, workflow: str | None = None
+) -> DataFrame:
+    """One row per distinct edge of a document, between included activities.
+
+    `workflow` names a further column with the id of the document's pipeline.
+    """
     source, sink, parent = F.col("source"), F.col("sink"), F.col("ParentId")
     rows = _edges(parsed).withColumn("ParentId", _pipeline_id())
     rows = rows.select(
@@ -175,8 +180,12 @@ def dependencies(parsed: DataFrame, run_ts: datetime | None = None) -> DataFrame
         _target_name(source["type"], source["target"]).alias("DependencySourceName"),
         _target_name(sink["type"], sink["target"]).alias("DependencyTargetName"),
         _stamp(run_ts).alias("CreatedDate"),
+        parent,
     )
-    return conform(rows, DEPENDENCIES)
+    edges = conform(rows.drop("ParentId"), DEPENDENCIES)
+    if workflow is None:
+        return edges
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in DEPENDENCIES], parent.alias(workflow))
 
 
 def counts_per_document(parsed: DataFrame) -> DataFrame:

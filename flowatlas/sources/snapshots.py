@@ -12,20 +12,24 @@ so that the join writes one file per bucket. Spark knows buckets of catalog tabl
 so every bucketed version is an external table of the current database as well.
 """
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from hashlib import sha256
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 HISTORY = (
     "operation STRING, run_ts TIMESTAMP, stream_id STRING, batch_id BIGINT, inserted BIGINT, "
     "updated BIGINT, deleted BIGINT, unchanged BIGINT, bucket_count INT, "
-    "bucket_keys ARRAY<STRING>, day_column STRING, version BIGINT"
+    "bucket_keys ARRAY<STRING>, day_column STRING, slice_count INT, slices MAP<INT, BIGINT>, "
+    "slice_schema STRING, version BIGINT"
 )
 COUNTS = ["inserted", "updated", "deleted", "unchanged"]
+# Private columns of tables in slices: see plans.sliced.
+SLICE, WORKFLOW = "_slice", "_workflow"
 # Private partition column of a table that is partitioned by day.
 DAY = "_partition_day"
 
@@ -36,6 +40,15 @@ class Buckets:
     keys: Sequence[str]
 
 
+@dataclass(frozen=True)
+class Slices:
+    """How many there are, which version holds each, and the schema of their rows as JSON."""
+
+    count: int
+    held: dict[int, int]
+    schema: str
+
+
 def data_path(table: str, version: int) -> str:
     return f"{table}/data/version={version}"
 
@@ -99,6 +112,8 @@ def read_snapshot(
 
 def read_entry(spark: SparkSession, table: str, entry: Row, keep_day: bool = False) -> DataFrame:
     """Rows of the version that a history row is about."""
+    if entry["slice_count"] is not None:
+        return read_slices(spark, table, entry).drop(WORKFLOW)
     path = data_path(table, entry["version"])
     buckets = buckets_of(entry)
     if buckets:
@@ -117,6 +132,30 @@ def read_days(
     return rows.filter(F.col(DAY).between(F.lit(first), F.lit(last))).drop(DAY)
 
 
+def read_slices(
+    spark: SparkSession, table: str, entry: Row, only: Sequence[int] | None = None
+) -> DataFrame:
+    """Rows of some or all slices, each from the version that holds it, with their workflow."""
+    schema = StructType.fromJson(json.loads(entry["slice_schema"]))
+    chosen = {k: v for k, v in entry["slices"].items() if only is None or k in set(only)}
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    paths = [f"{data_path(table, v)}/{SLICE}={k}" for k, v in sorted(chosen.items())]
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def write_slices(df: DataFrame, table: str, version: int) -> None:
+    df.write.mode("overwrite").partitionBy(SLICE).parquet(data_path(table, version))
+
+
+def written_slices(spark: SparkSession, table: str, version: int) -> list[int]:
+    """The slices that a version wrote rows of."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(data_path(table, version))
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in found]
+    return [int(name.removeprefix(f"{SLICE}=")) for name in names if name.startswith(f"{SLICE}=")]
+
+
 def columns_ddl(schema: StructType) -> str:
     """Column list of a CREATE TABLE statement, names quoted at every depth."""
     return schema.toDDL()
@@ -178,6 +217,7 @@ def commit_version(
     buckets: Buckets | None = None,
     stream_id: str | None = None,
     day_column: str | None = None,
+    slices: Slices | None = None,
 ) -> None:
     """Write the history row that makes `version` visible; without `run_ts` it has the time now."""
     values = {
@@ -189,12 +229,22 @@ def commit_version(
         "bucket_count": F.lit(buckets.count if buckets else None).cast("int"),
         "bucket_keys": F.array(*map(F.lit, buckets.keys)) if buckets else F.lit(None),
         "day_column": F.lit(day_column).cast("string"),
+        "slice_count": F.lit(slices.count if slices else None).cast("int"),
+        "slices": _int_map(slices.held if slices else None),
+        "slice_schema": F.lit(slices.schema if slices else None).cast("string"),
     }
     entry = spark.range(0, 1, 1, 1).select(*[c.alias(name) for name, c in values.items()])
     entry = entry.withColumn("bucket_keys", F.col("bucket_keys").cast("array<string>"))
     entry.write.mode("overwrite").parquet(f"{table}/history/version={version}")
 
 
+def _int_map(values: dict[int, int] | None) -> Column:
+    if values is None:
+        return F.lit(None).cast("map<int,bigint>")
+    keys = F.from_json(F.lit(json.dumps(list(values))), "array<int>")
+    return F.map_from_arrays(keys, F.from_json(F.lit(json.dumps(list(values.values()))), "array<bigint>"))
+
+
 def write_snapshot(
     df: DataFrame,
     table: str,
@@ -214,17 +264,22 @@ def write_snapshot(
 def drop_versions(spark: SparkSession, table: str, before: int) -> None:
     """Remove the versions below `before`; the newest one always stays.
 
-    A version's history row goes first, so no reader finds one whose data is gone.
+    A version's history row goes first, so no reader finds one whose data is gone. Slices that
+    a later version still reads stay.
     """
     newest = latest_version(spark, table)
     if newest is None:
         return
-    old = history(spark, table).filter(F.col("version") < min(before, newest)).select("version")
-    for row in old.collect():  # one row for each version
-        delete_folder(spark, f"{table}/history/version={row['version']}")
-        path = data_path(table, row["version"])
-        spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(path)}")
-        delete_folder(spark, path)
+    rows = history(spark, table).select("version", "slices").collect()  # one for each version
+    kept = [row for row in rows if row["version"] >= min(before, newest)]
+    held = {version for row in kept for version in (row["slices"] or {}).values()}
+    for row in rows:
+        if row not in kept:
+            delete_folder(spark, f"{table}/history/version={row['version']}")
+            path = data_path(table, row["version"])
+            spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(path)}")
+            if row["version"] not in held:
+                delete_folder(spark, path)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from flowatlas import plans, sources
+from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
 from flowatlas.sources import snapshots
 from flowatlas.streaming import ingest_arrivals, rejected_arrivals, sync_batch
@@ -157,3 +158,59 @@ def test_second_stream_skips_nothing(spark, folder):
     assert {r.table for r in first.collect()} == {r.table for r in second.collect()} == names
     inserted = {r.table: r.inserted for r in second.collect()}
     assert inserted["pipelines_df"] == 1 and all(r.run_ts for r in second.collect())
+
+
+def slice_files(root, name):
+    folder = f"{root}/tables/{dataset_name(name)}/data"
+    return {os.path.join(d, f) for d, _, files in os.walk(folder) for f in files if f.endswith(".parquet")}
+
+
+def test_untouched_slices_keep_their_files(spark, folder):
+    land(f"{folder}/landing", "first", *[workflow(f"w{k}", ("a", []), ("b", ["a"])) for k in range(40)])
+    run(spark, folder, slices=16)
+    before = slice_files(folder, "activities_df")
+    land(f"{folder}/landing", "second", workflow("w7", ("a", [])))
+    summary = {r.table: r for r in run(spark, folder).collect() if r.batch_id == 1}
+    new = slice_files(folder, "activities_df") - before
+    assert len(before) == 16 and len(new) == 1 and before <= slice_files(folder, "activities_df")
+    path = f"{folder}/tables/{dataset_name('activities_df')}"
+    read = sources.read_snapshot(spark, path).inputFiles()
+    assert len(read) == 16 and sum("version=1" in f for f in read) == 1
+    assert table(spark, folder, "activities_df").count() == 79
+    assert (summary["activities_df"].deleted, summary["dependencies_df"].deleted) == (1, 1)
+    sources.drop_versions(spark, path, before=1)
+    assert table(spark, folder, "activities_df").count() == 79
+
+
+def test_stored_rows_move_once_and_meet_no_join(spark, folder):
+    land(f"{folder}/landing", "first", *[workflow(f"w{k}", ("a", []), ("b", ["a"])) for k in range(40)])
+    run(spark, folder)
+    path = f"{folder}/tables/{dataset_name('activities_df')}"
+    stored = snapshots.read_slices(spark, path, snapshots.latest_entry(spark, path))
+    workflows = stored.select(snapshots.WORKFLOW).limit(3)
+    changes = sliced.compared(stored, stored.limit(0), workflows, ["ActivityId", "ParentId"], 64)
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    plan = sliced.compared(stored, stored, stored, ["ActivityId", "ParentId"], 64)._jdf.queryExecution().executedPlan().toString()
+    # one for the union of both sides, one for the distinct workflows of the batch
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_tables_without_slices_are_taken_over(spark, folder):
+    docs = [("/d", json.dumps(workflow(n, ("a", []), ("b", ["a"])))) for n in ("p", "q")]
+    documents = spark.createDataFrame(docs, "path STRING, value STRING")
+    tables, _ = plans.extract_all(spark, documents, run_ts=RUN_TS)
+    plans.sync_all(tables, f"{folder}/tables", run_ts=RUN_TS)
+    land(f"{folder}/landing", "next", workflow("p", ("a", []), ("c", ["a"])))
+    run(spark, folder)
+    assert state(spark, folder) == (
+        {"p", "q"}, {("p", "a"), ("p", "c"), ("q", "a"), ("q", "b")}, {("a", "b"), ("a", "c")},
+    )
+
+
+def test_workflow_without_activities_loses_its_rows(spark, folder):
+    land(f"{folder}/landing", "first", workflow("p", ("a", []), ("b", ["a"])), workflow("q", ("x", [])))
+    run(spark, folder)
+    land(f"{folder}/landing", "second", workflow("p"))
+    run(spark, folder)
+    assert state(spark, folder) == ({"p", "q"}, {("q", "x")}, set())
