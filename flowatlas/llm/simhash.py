@@ -254,5 +254,6 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     sortable = [f.name for f in docs.schema if not isinstance(f.dataType, MapType) and f.name != doc_id]
     order = F.struct(F.col(doc_id).isNull(), doc_id, *sortable)
     row = F.min_by(F.struct(*columns), order).alias("row")
-    kept = printed.join(chosen, fp, "left_semi").groupBy(fp).agg(row)
+    # copies are reduced to one row for each task before anything is shuffled by fingerprint
+    kept = printed.groupBy(fp).agg(row).join(chosen, fp, "left_semi")
     return kept.select(*[F.col("row")[c].alias(c) for c in columns])
