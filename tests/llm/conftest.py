@@ -2,7 +2,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-LONG = "lorem 12 ipsum\n" * 20_000
+LONG = "lorem 12 ipsum\n" * 4_000
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
 TEXTS = [
     None,
