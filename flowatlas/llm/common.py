@@ -1,11 +1,14 @@
 """Helpers shared by the corpus operators: tables, folders, Arrow functions, folds."""
 
+import math
 import sys
 import types
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from flowatlas.session import shared_folder
 
@@ -74,8 +77,49 @@ def held_out(doc_id: Column) -> Column:
 def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
     """About `rows` rows, chosen by a hash of the key; never more than one and a half times that.
 
-    For fitting a model only. The choice is the same in every run.
+    For fitting a model only, and for rows that the key tells apart: then the limit is not met
+    in practice, and the choice is the same in every run. See `sampled_texts` for texts.
     """
     total = df.count()
     bucket = F.pmod(F.xxhash64(*key), F.lit(1_000_000))
     return df.filter(bucket < F.lit(int(1_000_000 * rows / max(total, 1)) + 1)).limit(rows * 3 // 2)
+
+
+def sampled_texts(df: DataFrame, rows: int, least: int) -> list[tuple[str, object]]:
+    """Distinct (text, label) of a table of `text` and `label`, neither null, ordered by both.
+
+    For fitting a model only. Copies count once. A label gets its share of `rows`, and `least`
+    or all it has at least, so no label is missing. Within a label those with the smallest hash
+    are taken, so the choice is the same in every run.
+    """
+    spark = df.sparkSession
+    digest = F.sha2("text", 256)
+    known = cut_lineage(df.select("label", digest.alias("digest")).distinct())
+    sizes = dict(known.groupBy("label").count().collect())
+    total = sum(sizes.values())
+    quotas = {y: max(least, math.ceil(rows * n / total)) for y, n in sizes.items()}
+    # twice the quota is looked at, so that a chance shortage can be left out of account
+    shares = [(y, min(1.0, (2 * quotas[y] + 100) / n)) for y, n in sizes.items()]
+    kind = known.schema["label"].dataType
+    wanted = StructType().add("label", kind).add("share", "double")
+    order = F.xxhash64("digest")
+    place = F.pmod(order, F.lit(1 << 53)) / F.lit(1 << 53)
+    near = known.join(F.broadcast(spark.createDataFrame(shares, wanted)), "label").filter(place < F.col("share"))
+    taken = defaultdict(list)
+    for label, _, text_digest in sorted(near.select("label", order, "digest").collect()):
+        if len(taken[label]) < quotas[label]:
+            taken[label].append(text_digest)
+    chosen = [(y, d) for y, digests in taken.items() for d in digests]
+    once = spark.createDataFrame(sorted({(d,) for _, d in chosen}), "digest string")
+    found = df.select(digest.alias("digest"), "text").join(F.broadcast(once), "digest", "left_semi")
+    texts = dict(found.mapInArrow(_first_of_each, found.schema).dropDuplicates(["digest"]).collect())
+    return sorted((texts[d], y) for y, d in chosen)
+
+
+def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's first row of each digest, however many copies it reads."""
+    seen = set()
+    for batch in batches:
+        new = {d: k for k, d in reversed(list(enumerate(batch["digest"].to_pylist()))) if d not in seen}
+        seen.update(new)
+        yield batch.take(pa.array(sorted(new.values()), pa.int64()))

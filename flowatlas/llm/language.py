@@ -10,8 +10,8 @@ Words are runs of letters and non-ASCII characters in lower case. A text that is
 no letter is `und` with score 0 and no segments; so is every text where nothing was learned.
 Rows are independent, ties go to the first language by name, other columns pass through.
 
-Training takes a bounded, hashed sample of labelled documents, each as it is and joined with
-the next one, so that switches within a text are learned too; weights start from log odds
+Training takes a bounded, hashed sample of distinct labelled documents with some of every
+language, each as it is and joined with the next one, so that switches within a text are learned too; weights start from log odds
 and follow the likelihood's gradient.
 """
 
@@ -21,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, bound_batches, held_out, sampled, struct_array
+from flowatlas.llm.common import arrow_function, bound_batches, held_out, sampled_texts, struct_array
 
 SLOTS = 1 << 16
 LETTER = np.array([chr(b).isalpha() if b < 0x80 else True for b in range(256)])
 ANY_LETTER = re.compile(r"[^\W\d_]")
+HAS_WORD = r"[A-Za-z\x{80}-\x{10FFFF}]"
 BLOCK = 1 << 20
 #: Characters of the texts that are labelled together; a longer text is on its own.
 PIECE = 1 << 21
@@ -214,19 +215,18 @@ def fit(texts: list[str], langs: list[str], rounds: int = 10, rate: float = 0.3,
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", learn_from: Column | None = None,
-          train_docs: int = 500, **options) -> Model:
-    """A model from about `train_docs` documents (never over one and a half times as many).
+          train_docs: int = 500, least: int = 20, **options) -> Model:
+    """A model from about `train_docs` distinct documents, and at least `least` of each language.
 
-    They are chosen by a hash of text and language among rows with both and `learn_from`.
+    A language with fewer gives all it has. They are chosen by a hash among rows with a word,
+    a language and `learn_from`; copies of a text count once.
     """
-    rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    rows = docs.filter(F.col(text).rlike(HAS_WORD) & F.col(lang).isNotNull())
     if learn_from is not None:
         rows = rows.filter(learn_from)
-    rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    picked = sampled(rows, train_docs, "text", "lang").collect()
-    picked.sort(key=lambda r: (r["text"], r["lang"]))
+    picked = sampled_texts(rows.select(F.col(text).alias("text"), F.col(lang).alias("label")), train_docs, least)
     order = np.random.default_rng(1).permutation(len(picked))
-    return fit([picked[i]["text"] for i in order], [picked[i]["lang"] for i in order], **options)
+    return fit([picked[i][0] for i in order], [picked[i][1] for i in order], **options)
 
 
 def label_texts(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:

@@ -9,7 +9,7 @@ a transition potential. Distant nodes that are the same, or whose digits are the
 skip potential with the previous such node, so a value that stands many times makes a chain
 and not all pairs. Loopy belief propagation passes messages over both kinds of edges, for all
 texts of a batch at once, and so carries a label from one mention to the others. Weights are
-learned from the base spans of a bounded, hashed sample, without the checks (a digit sum, a
+learned from the base spans of a bounded, hashed sample with some of every kind, without the checks (a digit sum, a
 largest part) among the features: tokens that look and stand like a kind are labelled with
 it where a check or a neighbour had hidden them from the pattern.
 
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, bound_batches, sampled
+from flowatlas.llm.common import arrow_function, bound_batches, sampled_texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
@@ -226,16 +226,25 @@ def fit(texts: list[str], rounds: int = 60, rate: float = 0.3, decay: float = 1e
     return field
 
 
-def train(docs: DataFrame, text: str = "text", learn_from: Column | None = None, train_docs: int = 2000, **options) -> Field:
-    """Weights from about `train_docs` documents with a digit or at sign (at most half as many again).
+def kinds_of(texts: pa.Array) -> pa.Array:
+    """The kinds of each text's base spans, as bits."""
+    return pa.array([sum({1 << KINDS.index(kind) for kind, _, _ in base_spans(t)}) for t in texts.to_pylist()], pa.int32())
 
-    They are chosen by a hash of the text; no label is used but the base spans in them.
+
+def train(docs: DataFrame, text: str = "text", learn_from: Column | None = None, train_docs: int = 2000,
+          least: int = 100, **options) -> Field:
+    """Weights from about `train_docs` distinct documents with a digit or at sign.
+
+    They are chosen by a hash of the text, and of each set of base kinds that texts have there
+    are `least` or all at least; copies of a text count once. No label is used but base spans.
     """
     rows = docs.filter(F.col(text).rlike("[0-9@]"))
     if learn_from is not None:
         rows = rows.filter(learn_from)
-    rows = rows.select(F.col(text).alias("text"))
-    return fit(sorted(r["text"] for r in sampled(rows, train_docs, "text").collect()), **options)
+    bound_batches(docs.sparkSession)
+    kinds = arrow_function(lambda: kinds_of, "int")(F.col("text"))
+    rows = rows.select(F.col(text).alias("text")).withColumn("label", kinds)
+    return fit([t for t, _ in sampled_texts(rows, train_docs, least)], **options)
 
 
 def added_spans(field: Field, texts: list[str], bases: list[list[tuple[str, int, int]]], sure: float) -> dict[int, list]:

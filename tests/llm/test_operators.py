@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from flowatlas.llm import (
-    bpe, chat, components, decontaminate, language, licenses, pii, quality_fm, queries, rules, simhash,
+    bpe, chat, common, components, decontaminate, language, licenses, pii, quality_fm, queries, rules, simhash,
 )
 
 DATA = "/root/testdata/sf0.01"
@@ -124,6 +124,27 @@ def test_redaction():
     assert pii.redact("abcdefghijklmn", spans) == "abc[EMAIL]j[IP]mn"
 
 
+def test_copies_crowd_no_label_out_of_a_sample(spark):
+    """One text of many copies, a language of one text and a kind of one text."""
+    many = [("the house and the dog of the man", "en")] * 4000
+    some = [(f"der Hund und die Katze {'abcdefghij'[k % 10] * (k // 10 + 1)}", "de") for k in range(600)]
+    rows = [*many, *some, ("le chien et le chat dans la maison", "fr"), ("12 !", "none")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    model = language.train(docs)
+    assert model.names == ["de", "en", "fr"]
+    assert language.label_texts(model, ["le chat et la maison"])[0] == ["fr"]
+    plain = [(f"order {k}", 0) for k in range(600)] + [("order 7 of many", 0)] * 4000
+    docs = spark.createDataFrame([*plain, ("host 10.0.0.1", 2)], "text string, label int").repartition(7)
+    picked = common.sampled_texts(docs, 50, 5)
+    assert ("host 10.0.0.1", 2) in picked and len(set(picked)) == len(picked) <= 56
+    assert picked == common.sampled_texts(docs.repartition(3), 50, 5)
+    tried = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pii, "fit", lambda texts: tried.extend(texts))
+        pii.train(docs, train_docs=50, least=5)
+    assert sorted(tried) == [t for t, _ in picked]
+
+
 # --- models --------------------------------------------------------------------------
 
 
