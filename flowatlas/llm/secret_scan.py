@@ -3,13 +3,14 @@
 Base kinds (`assign`, `access`, `hex`) are leftmost, non-overlapping matches of fixed patterns.
 
 The method adds `entropy` spans. Candidate strings are runs of one character class (hex
-digits; letters, digits and the marks of base 64). A window of `WINDOW` characters slides over
+digits, also inside a longer run; letters, digits and the marks of base 64). A window of `WINDOW` characters slides over
 each candidate: one count goes up, one goes down, and with them the sum of c log2 c, from which
 the window's Shannon entropy follows. Sums are kept in millionths, as whole numbers, so that
 every engine agrees. Windows at or over the class's threshold merge into one span from the
 first to the last. Candidates on the allow list (words of letters alone, numbers, UUIDs, runs
-of one character, placeholders) are left out before any window is counted; so are spans that
-overlap a base span, which is reported already.
+of one character) are left out before any window is counted; of a run with a placeholder only
+the part between = / _ - that holds it is left out. Spans that overlap a base span, which is
+reported already, are left out too.
 
 Built-in functions only. Null and empty texts have no spans. Rows are independent, repeated
 rows give repeated results, and other columns pass through.
@@ -32,6 +33,7 @@ KINDS = (*BASE, "entropy")
 
 WINDOW = 20
 MILLION = 1_000_000
+PLACEHOLDERS = "example|sample|dummy|placeholder|changeme|abcdefghij|0123456789"
 #: A whole candidate that matches is no secret.
 ALLOWED = (
     r"[A-Za-z]+",  # a word
@@ -39,7 +41,7 @@ ALLOWED = (
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",  # a UUID
     r"(.)\1*",  # one character over and over
     r"[A-Za-z]+(?:[-_/+=]+[A-Za-z]+)*",  # joined words
-    r"(?i:.*(?:example|sample|dummy|placeholder|changeme|abcdefghij|0123456789).*)",
+    f"(?i:.*(?:{PLACEHOLDERS}).*)",
 )
 
 
@@ -63,8 +65,11 @@ CLASSES = (
     CharacterClass(DIGITS + "abcdefABCDEF", "[0-9a-fA-F]+", 3.2),
     CharacterClass(UPPER + UPPER.lower() + DIGITS + "+/_=-", "[A-Za-z0-9+/_=-]+", 3.8),
 )
-#: Runs long enough for a window; each is looked at in every class that has all its characters.
+#: Runs long enough for a window. Hex runs inside them are candidates of their own.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+HEX_RUN = r"[0-9a-fA-F]{20,}"
+#: A part between the marks = / _ - that holds a placeholder; what stands beside it is looked at.
+PLACED = rf"(?<![A-Za-z0-9+])[A-Za-z0-9+]*(?i:{PLACEHOLDERS})[A-Za-z0-9+]*"
 #: c log2 c in millionths for every count of a window.
 TERMS = tuple(round(c * math.log2(c) * MILLION) if c else 0 for c in range(WINDOW + 1))
 
@@ -121,10 +126,46 @@ def _window_span(found: Column, kind: CharacterClass) -> Column:
     return slide(F.split(found, ""))
 
 
+def _not_allowed(found: Column) -> Column:
+    """Candidates that are no word, number, UUID and so on as a whole, less their placeholders."""
+    whole = "^(?:" + "|".join(ALLOWED[:-1]) + ")$"
+
+    def kept(some: Column) -> Column:
+        return F.filter(some, lambda m: ~m["found"].rlike(whole))
+
+    def beside(m: Column) -> Column:
+        def runs(cuts: Column) -> Column:
+            def run(i: Column) -> Column:
+                begin = F.when(i > 0, F.get(cuts, i - 1)["end"]).otherwise(F.lit(0))
+                end = F.when(i < F.size(cuts), F.get(cuts, i)["begin"]).otherwise(F.length(m["found"]))
+                return _part(m, begin, end)
+
+            return F.transform(places(0, F.size(cuts)), run)
+
+        return F.when(m["found"].rlike(PLACED), let(matches(m["found"], PLACED), runs)).otherwise(F.array(m))
+
+    parts = F.flatten(F.transform(kept(found), beside))
+    return kept(F.filter(parts, lambda m: m["end"] - m["begin"] >= WINDOW))
+
+
+def _part(m: Column, begin: Column, end: Column) -> Column:
+    return F.struct(
+        (m["begin"] + begin).alias("begin"), (m["begin"] + end).alias("end"),
+        F.substring(m["found"], begin + 1, end - begin).alias("found"),
+    )
+
+
+def _hex_runs(candidates: Column) -> Column:
+    """The longest runs of hex digits in the candidates."""
+    inside = F.transform(
+        candidates, lambda m: F.transform(matches(m["found"], HEX_RUN), lambda h: _part(m, h["begin"], h["end"]))
+    )
+    return _not_allowed(F.flatten(inside))
+
+
 def _entropy_spans(candidates: Column, kind: CharacterClass) -> Column:
-    of_class = F.filter(candidates, lambda m: m["found"].rlike(f"^{kind.whole}$"))
     spans = F.transform(
-        of_class,
+        candidates,
         lambda m: let(
             _window_span(m["found"], kind),
             lambda w: F.struct(
@@ -159,19 +200,25 @@ def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") ->
 
     Both arrays are ordered by begin, then by the order of `KINDS`.
     """
-    allowed = "^(?:" + "|".join(ALLOWED) + ")$"
-    candidates = F.filter(matches(F.col(text), CANDIDATE), lambda m: ~m["found"].rlike(allowed))
-
-    def all_spans(parts: Column) -> Column:
-        base = parts["base"]
-        found = F.array_distinct(F.concat(*[_entropy_spans(parts["candidates"], c) for c in CLASSES]))
+    hex_digits, base_64 = CLASSES
+    # steps of their own, as one nested expression is too deep for the analyzer
+    longest = max(map(len, docs.columns), default=0)
+    parts, runs = (name + "_" * longest for name in ("parts", "hex_runs"))  # no column has these names
+    candidates = _not_allowed(matches(F.col(text), CANDIDATE))
+    docs = docs.withColumn(parts, F.struct(_base_spans(F.col(text)).alias("base"), candidates.alias("candidates")))
+    docs = docs.withColumn(runs, _hex_runs(F.col(parts)["candidates"]))
+
+    def all_spans(p: Column) -> Column:
+        base = p["parts"]["base"]
+        of_hex = _entropy_spans(p["runs"], hex_digits)
+        found = F.array_distinct(F.concat(of_hex, _entropy_spans(p["parts"]["candidates"], base_64)))
         free = F.filter(
             found, lambda s: ~F.exists(base, lambda b: (s["begin"] < b["end"]) & (b["begin"] < s["end"]))
         )
         return F.struct(base.alias("base"), F.sort_array(F.concat(base, _without_inner(free))).alias("spans"))
 
-    parts = F.struct(_base_spans(F.col(text)).alias("base"), candidates.alias("candidates"))
-    return docs.withColumn(into, let(parts, all_spans))
+    both = F.struct(F.col(parts).alias("parts"), F.col(runs).alias("runs"))
+    return docs.withColumn(into, let(both, all_spans)).drop(parts, runs)
 
 
 def _without_inner(spans: Column) -> Column:

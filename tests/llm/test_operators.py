@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from flowatlas.llm import (
-    bpe, chat, common, components, decontaminate, language, licenses, pii, quality_fm, queries, rules, simhash,
+    bpe, chat, common, components, decontaminate, language, licenses, pii, quality_fm, queries, rules, secret_scan,
+    simhash,
 )
 
 DATA = "/root/testdata/sf0.01"
@@ -77,6 +78,28 @@ def test_broken_expressions(broken):
     assert licenses.to_postfix(broken) is None
 
 
+# --- secrets -------------------------------------------------------------------------
+
+
+def test_secrets_joined_to_other_text(spark):
+    """Hex digits in a longer run, and secrets beside a placeholder."""
+    key = "9F3A07C1E85B2D64F0A9B7C3D1E5286F4B0C9D7A"
+    mixed = "Zk8vQ2mX7pL4nT9wR1yB6cD3"
+    cases = {
+        f"ENC_KEY={key}": (8, 48), f"path a/b/{key}.": (9, 49), f"id-{key}": (3, 43), key: (0, 40), f"zz{key}": (2, 42),
+        f"/sample/{key}": (8, 48), f"my-example-key-{mixed}": (10, 39), f"{mixed}/dummy": (0, 25),
+        f"x-example{mixed}": None, "550e8400-e29b-41d4-a716-446655440000": None, f"é my_sample_{'x' * 30}": None,
+        "-".join(["0123456789", "11111111111111111111", "example"]): None,
+    }
+    docs = spark.createDataFrame([(t,) for t in cases], "text string")
+    found = secret_scan.find_secrets(docs).select("text", "secrets.spans").collect()
+    for r in found:
+        spans = [(s["begin"], s["end"]) for s in r["spans"]]
+        want = cases[r["text"]]
+        covered = {k for a, b in spans for k in range(a, b)}
+        assert (covered >= set(range(*want)) - {want[0], want[1] - 1}) if want else not spans, (r["text"], spans)
+
+
 # --- personal data -------------------------------------------------------------------
 
 
