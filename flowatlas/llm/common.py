@@ -40,13 +40,39 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+#: Bytes that a batch function is given at a time; a longer text comes alone.
+BATCH_BYTES = 2 << 20
+
+
+def slices(batch: pa.Array, most: int = BATCH_BYTES) -> Iterator[pa.Array]:
+    """A batch in parts of bounded bytes, one row each at least."""
+    if len(batch) < 2 or batch.nbytes <= most:
+        yield batch
+        return
+    half = len(batch) // 2
+    yield from slices(batch.slice(0, half), most)
+    yield from slices(batch.slice(half), most)
+
+
+def with_new(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """The rows with new columns; a name that is taken is an error, as a column would be lost."""
+    taken = {c.lower() for c in df.columns} & {c.lower() for c in columns}
+    if taken:
+        raise ValueError(f"the table already has {sorted(taken)}; give another name with into=")
+    return df.withColumns(columns)
+
+
 def arrow_function(make: Callable[[], Callable[[pa.Array], pa.Array]], returns: str):
-    """A Spark function of one column; `make` runs once a task and gives the batch function."""
+    """A Spark function of one column; `make` runs once a task and gives the batch function.
+
+    The function gets parts of bounded bytes, so its memory does not grow with a batch's texts.
+    """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         function = make()
         for batch in batches:
-            yield function(batch)
+            for part in slices(batch):
+                yield function(part)
 
     return F.arrow_udf(run, returns)
 

@@ -125,8 +125,69 @@ SELECT conv_id, count(*) AS n_turns,
 FROM r GROUP BY conv_id"""
 
 
+def collocations_sql(least: int = 100, longest: int = 5, top: int = 2000) -> str:
+    lowered = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+    return f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({lowered}, '[.,;:!?\\x0A-\\x0D]')) AS p
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+size AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+place AS (
+  SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+  FROM w, (SELECT unnest(generate_series(1, {longest})) AS k) WHERE len(w) >= k),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM place GROUP BY ALL HAVING count(*) >= {least}),
+part AS (
+  SELECT lang, k, f, m, string_split(phrase, ' ') AS w, unnest(generate_series(1, k - m + 1)) AS i
+  FROM f, (SELECT unnest(generate_series(2, {longest - 1})) AS m) WHERE m < k),
+longer AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS f FROM part GROUP BY ALL),
+candidate AS (
+  SELECT lang, k, phrase, f AS a FROM f WHERE k > 1 AND NOT EXISTS (
+    FROM longer o WHERE o.lang = f.lang AND o.phrase = f.phrase AND 100 * o.f >= 100 * f.f)),
+cut AS (SELECT *, string_split(phrase, ' ') AS w, unnest(generate_series(1, k - 1)) AS c FROM candidate),
+scored AS (
+  SELECT cut.lang, cut.phrase, c, a, x.f AS l, y.f AS r, n, (1000 * a * n) // (x.f * y.f) AS score
+  FROM cut JOIN size USING (lang)
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:c], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[c + 1:], ' ')),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= {top}"""
+
+
+def fill_middle_sql() -> str:
+    number = lambda k: f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)"
+    text = lambda a, b: f"coalesce(array_to_string(u[{a}:{b}], ''), '')"
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+line AS (SELECT *, regexp_extract_all(t, '[^\\n]*\\n|[^\\n]+') AS u FROM d),
+cut AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, {number(0)} % (len(u) + 1) AS a, {number(1)} % (len(u) + 1) AS b FROM line),
+part AS (
+  SELECT doc_id, t, n, {text(1, "least(a, b)")} AS prefix, {text("least(a, b) + 1", "greatest(a, b)")} AS middle,
+    {text("greatest(a, b) + 1", "n")} AS suffix,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {number(2)} % 100 >= 100
+      THEN 'plain' WHEN {number(3)} % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM part"""
+
+
 ORACLE = {
     "op1_secrets": secrets_sql(),
     "op2_decontamination": decontamination_sql(),
     "op7_chat": chat_sql(),
+    "op12_collocations": collocations_sql(),
+    "op13_fill_in_middle": fill_middle_sql(),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowatlas.llm import (
-    bpe, chat, decontaminate, language, licenses, pii, quality_fm, rules, secret_scan, simhash,
+    bpe, chat, collocations, decontaminate, fill_middle, language, licenses, pii, quality_fm, rules, secret_scan, simhash,
 )
 from flowatlas.llm.common import cut_lineage, held_out, read
 from flowatlas.llm.oracle import ORACLE
@@ -142,11 +142,24 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = made.select("doc_id", "fim.*")
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secrets, op2_decontamination, op3_bpe, op4_licenses, op5_pii,
-        op6_quality, op7_chat, op8_simhash, op9_language, op10_rules,
+        op6_quality, op7_chat, op8_simhash, op9_language, op10_rules, op12_collocations, op13_fill_in_middle,
     )
 }
 
