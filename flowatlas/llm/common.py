@@ -62,16 +62,16 @@ def with_new(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.withColumns(columns)
 
 
-def arrow_function(make: Callable[[], Callable[[pa.Array], pa.Array]], returns: str):
+def arrow_function(make: Callable[[], Callable[[pa.Array], pa.Array]], returns: str, most: int | None = None):
     """A Spark function of one column; `make` runs once a task and gives the batch function.
 
-    The function gets parts of bounded bytes, so its memory does not grow with a batch's texts.
+    With `most` it gets parts of so many bytes, so its memory does not grow with a batch's texts.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         function = make()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most or sys.maxsize):
                 yield function(part)
 
     return F.arrow_udf(run, returns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowatlas.llm.arrow_bytes import flat, places_of, shifts, texts_of
-from flowatlas.llm.common import arrow_function, with_new
+from flowatlas.llm.common import BATCH_BYTES, arrow_function, with_new
 
 MARKS = ("<P>", "<S>", "<M>")
 ORDERS = {"psm": (0, 2, 1), "spm": (2, 0, 1)}  # which of prefix, middle, suffix comes when
@@ -153,10 +153,10 @@ def fill_in_middle(
         raise ValueError("three different marks are needed")
     make = lambda: lambda batch: scatter(batch, marks, share, spm_share)
     given = F.struct(F.col(text).alias("text"), *numbers(F.col(key), seed))
-    return with_new(docs, {into: arrow_function(make, RETURNS)(given)})
+    return with_new(docs, {into: arrow_function(make, RETURNS, BATCH_BYTES)(given)})
 
 
 def restore(output: Column, form: Column, marks: tuple[str, str, str] = MARKS) -> Column:
     """The text before it was put in another order, from the output and its form alone."""
     make = lambda: lambda batch: gather(batch, marks)
-    return arrow_function(make, "string")(F.struct(output.alias("output"), form.alias("form")))
+    return arrow_function(make, "string", BATCH_BYTES)(F.struct(output.alias("output"), form.alias("form")))

@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowatlas.llm import (
     bpe, chat, collocations, decontaminate, fill_middle, language, licenses, pii, quality_fm, rules, secret_scan, simhash,
+    token_files,
 )
 from flowatlas.llm.common import cut_lineage, held_out, read
 from flowatlas.llm.oracle import ORACLE
+from flowatlas.session import shared_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -142,6 +145,16 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    token_files.write(read(spark, sf_dir, "documents"), folder, WORD_TOKENIZER)
+    keys = token_files.keyed(spark, folder).select(F.col("key").alias("doc_id"), "copy")
+    keys = keys.select("doc_id", token_files.key_text(F.col("doc_id"), F.col("copy")).alias("key"))
+    found = token_files.read_ids(token_files.locate(keys, folder), folder)
+    read_back = found.select("key", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return keys.join(read_back, "key").select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(read(spark, sf_dir, "documents"))
 
@@ -159,7 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secrets, op2_decontamination, op3_bpe, op4_licenses, op5_pii,
-        op6_quality, op7_chat, op8_simhash, op9_language, op10_rules, op12_collocations, op13_fill_in_middle,
+        op6_quality, op7_chat, op8_simhash, op9_language, op10_rules, op11_token_files, op12_collocations, op13_fill_in_middle,
     )
 }
 
