@@ -5,7 +5,8 @@ bytes has `bits` low zeros, between `least` and `most` bytes after the last cut
 inside a character. Equal passages so get equal chunks wherever they stand in a document.
 
 Reuse. Each Python worker keeps a dictionary from chunk to tokens, bounded in bytes, for as
-long as it lives; a chunk that it has seen in any document or task is not encoded again.
+long as it lives. It has two generations: when the newer is full the older goes, and what is
+used again moves up, so chunks in use are not encoded again in any document or task.
 
 Repair. Tokens near a chunk's ends may differ from those of the whole text. A text can always
 be cut safely between a printing ASCII character and a single space before another one,
@@ -33,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, bound_batches, worker_store
+from flowatlas.llm.common import BATCH_BYTES, arrow_function, bound_batches, worker_store
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 OUTSIDE_LATIN = re.compile("[^\t\n\r\x20-\x7e¡-§©«®°±¶·»¿-ſ]")
@@ -166,28 +167,37 @@ class ChunkEncoder:
         self.encoder, self.bits, self.least, self.most, self.memory = encoder, bits, least, most, memory
         self.chunks: dict[bytes, Chunk] = {}
         self.joins: dict[bytes, np.ndarray] = {}
+        self.old_chunks: dict[bytes, Chunk] = {}
+        self.old_joins: dict[bytes, np.ndarray] = {}
         self.held = self.encoded = self.reused = self.repaired = 0
 
     def _keep(self, size: int) -> None:
-        if self.held > self.memory:
+        if self.held > self.memory // 2:
+            self.old_chunks, self.old_joins = self.chunks, self.joins
             self.chunks, self.joins, self.held = {}, {}, 0
         self.held += size
 
     def chunk(self, raw: bytes) -> Chunk:
         found = self.chunks.get(raw)
+        if found is not None:
+            self.reused += 1
+            return found
+        found = self.old_chunks.get(raw)
         if found is None:
             found = Chunk(raw, self.encoder)
-            self._keep(2 * len(raw) + 400)
-            self.chunks[raw] = found
             self.encoded += 1
         else:
             self.reused += 1
+        self._keep(2 * len(raw) + 400)
+        self.chunks[raw] = found
         return found
 
     def join(self, raw: bytes) -> np.ndarray:
         found = self.joins.get(raw)
         if found is None:
-            found = self.encoder.ids(raw.decode())
+            found = self.old_joins.get(raw)
+            if found is None:
+                found = self.encoder.ids(raw.decode())
             self._keep(3 * len(raw) + 200)
             self.joins[raw] = found
         return found
@@ -267,7 +277,7 @@ def encode(
         return batch
 
     bound_batches(docs.sparkSession)
-    return docs.withColumn(into, arrow_function(make, "array<int>")(F.col(text)))
+    return docs.withColumn(into, arrow_function(make, "array<int>", BATCH_BYTES)(F.col(text)))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded", block: int = 1 << 20) -> DataFrame:
@@ -300,4 +310,4 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded",
         return batch
 
     bound_batches(docs.sparkSession)
-    return docs.withColumn(into, arrow_function(make, "string")(F.col(ids)))
+    return docs.withColumn(into, arrow_function(make, "string", 4 * BATCH_BYTES)(F.col(ids)))

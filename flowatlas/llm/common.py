@@ -73,6 +73,7 @@ def arrow_function(make: Callable[[], Callable[[pa.Array], pa.Array]], returns:
         for batch in batches:
             for part in slices(batch, most or sys.maxsize):
                 yield function(part)
+        pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, returns)
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, bound_batches, held_out, sampled_texts, struct_array
+from flowatlas.llm.common import BATCH_BYTES, arrow_function, bound_batches, held_out, sampled_texts, struct_array
 
 SLOTS = 1 << 16
 LETTER = np.array([chr(b).isalpha() if b < 0x80 else True for b in range(256)])
@@ -29,7 +29,7 @@ ANY_LETTER = re.compile(r"[^\W\d_]")
 HAS_WORD = r"[A-Za-z\x{80}-\x{10FFFF}]"
 BLOCK = 1 << 20
 #: Characters of the texts that are labelled together; a longer text is on its own.
-PIECE = 1 << 21
+PIECE = 1 << 19
 RESULT = "struct<lang_pred:string,score:double,segments:array<struct<lang:string,words:long>>>"
 
 
@@ -295,7 +295,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
         return batch
 
     bound_batches(docs.sparkSession)
-    return docs.withColumn(into, arrow_function(make, RESULT)(F.col(text)))
+    return docs.withColumn(into, arrow_function(make, RESULT, BATCH_BYTES)(F.col(text)))
 
 
 def learnable(doc_id: str = "doc_id") -> Column:

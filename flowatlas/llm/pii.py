@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowatlas.llm.common import arrow_function, bound_batches, sampled_texts
+from flowatlas.llm.common import BATCH_BYTES, arrow_function, bound_batches, sampled_texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
@@ -165,8 +165,8 @@ class Field:
         self.node = np.zeros((N_FEATURES, n))
         self.pair = np.stack([np.zeros((n, n)), np.eye(n)])  # the same value has the same label
 
-    def infer(self, graph: Graph, rounds: int = 15) -> tuple[np.ndarray, np.ndarray]:
-        """Marginals of nodes and of edges, by damped messages until they rest or `rounds` passed."""
+    def infer(self, graph: Graph, rounds: int = 15, edges: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """Marginals of nodes, and of edges if asked for, by damped messages until they rest or `rounds` passed."""
         own = self.node[graph.features].sum(1)
         source = np.concatenate([graph.edges[:, 0], graph.edges[:, 1]])
         target = np.concatenate([graph.edges[:, 1], graph.edges[:, 0]])
@@ -185,6 +185,8 @@ class Field:
             if rest < 1e-4:
                 break
         nodes = np.exp(belief - log_sum(belief, 1)[:, None]) if len(own) else belief
+        if not edges:
+            return nodes, None
         a, b = graph.edges[:, 0], graph.edges[:, 1]
         joint = (belief[a] - message[m:])[:, :, None] + (belief[b] - message[:m])[:, None, :] + pair[:m]
         joint = np.exp(joint - joint.max((1, 2), keepdims=True)) if m else joint
@@ -207,7 +209,7 @@ def fit(texts: list[str], rounds: int = 60, rate: float = 0.3, decay: float = 1e
     hot = np.eye(n)[truth]
     square_node, square_pair = np.full_like(field.node, 1e-6), np.full_like(field.pair, 1e-6)
     for _ in range(rounds):
-        nodes, joint = field.infer(graph, 8)
+        nodes, joint = field.infer(graph, 8, edges=True)
         error = (hot - nodes) / len(nodes)
         pull = np.stack(
             [np.bincount(graph.features.ravel(), np.repeat(error[:, y], graph.features.shape[1]), N_FEATURES) for y in range(n)], 1
@@ -242,7 +244,7 @@ def train(docs: DataFrame, text: str = "text", learn_from: Column | None = None,
     if learn_from is not None:
         rows = rows.filter(learn_from)
     bound_batches(docs.sparkSession)
-    kinds = arrow_function(lambda: kinds_of, "int")(F.col("text"))
+    kinds = arrow_function(lambda: kinds_of, "int", BATCH_BYTES)(F.col("text"))
     rows = rows.select(F.col(text).alias("text")).withColumn("label", kinds)
     return fit([t for t, _ in sampled_texts(rows, train_docs, least)], **options)
 
@@ -310,11 +312,11 @@ def find_personal_data(docs: DataFrame, field: Field, text: str = "text", into:
             some = [plain[k] for k in at]
             bases = [base_spans(t) for t in some]
             added = added_spans(own, some, bases, sure)
-            spans, redacted = [[] for _ in plain], list(plain)
+            spans, redacted = [[] for _ in plain], [None] * len(plain)
             for i, k in enumerate(at):
                 both = [(*s, True) for s in bases[i]] + [(*s, False) for s in added.get(i, [])]
                 both.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-                redacted[k] = redact(plain[k], both)
+                redacted[k] = redact(plain[k], both) if both else None
                 spans[k] = [dict(zip(("kind", "begin", "end", "base"), s)) for s in both]
             columns = [pa.array(spans, pa.list_(one)), pa.array(redacted, pa.string())]
             return pa.StructArray.from_arrays(columns, names=["spans", "redacted"])
@@ -322,7 +324,10 @@ def find_personal_data(docs: DataFrame, field: Field, text: str = "text", into:
         return batch
 
     bound_batches(docs.sparkSession)
-    return docs.withColumn(into, arrow_function(make, RESULT)(F.col(text)))
+    found = docs.withColumn(into, arrow_function(make, RESULT, BATCH_BYTES)(F.col(text)))
+    # texts without a span stay where they are and don't come back from Python
+    whole = F.coalesce(F.col(into)["redacted"], F.col(text)).alias("redacted")
+    return found.withColumn(into, F.struct(F.col(into)["spans"].alias("spans"), whole))
 
 
 def count_of(spans: Column, kind: str) -> Column:
