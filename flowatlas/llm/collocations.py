@@ -7,9 +7,12 @@ a partition is split by the word at its depth into smaller, equal and larger one
 ones go on at the next depth and their sizes are the counts of the phrases read so far. A
 partition lighter than `least` is abandoned, as nothing in it can be frequent.
 
-Before that, whole words and then pairs of words are counted, and suffixes end where a pair
-is infrequent. What is frequent is told to the tasks by bit maps of a fixed size, one bit
-for a hash: a bit too many costs time and changes nothing, as the sort counts anew.
+Before that, runs of two and three words are counted by cells of a hash, 2^28 of them, and
+suffixes end where a run's cell is lighter than `least`. Counts travel as sorted arrays, four
+bytes for a cell and task, and are added up in arrays of fixed size; the tasks are told by a bit
+for each cell (32 MB). A cell holds all occurrences of its runs and perhaps others', so no frequent
+phrase is lost, and a run too many costs time only, as the sort counts anew. Beyond some 100 GB
+most cells are heavy and little is left out: then all suffixes are routed.
 
 Hot leading words. Where a hash cell of leading words holds over a 1024th of all suffixes
 (less where there are more than 256 tasks), its suffixes are routed by one word more, and so
@@ -17,7 +20,7 @@ on; phrases shorter than their route are then counted by an aggregate. No group
 one task because many share its first words, and suffixes that are equal as a whole are added
 up before they move.
 
-A null text is empty, a null group is `und`. A text of over 8 MB is taken in parts that end at
+A null text is empty, a null group is `und`. A text of over 3 MB is taken in parts that end at
 punctuation. Repeated rows count each time. Ties of score are in order of count, then phrase
 in byte order; an empty table gives no phrases. Other columns are not read.
 """
@@ -34,12 +37,15 @@ from flowatlas.llm.arrow_bytes import flat
 from flowatlas.llm.common import LOWER_BYTES, cut_lineage, slices
 
 SPACE, BREAK = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
-BLOCK = 8 << 20
-#: Bits of each map of what is frequent.
-CELLS = 1 << 25
+BLOCK = 3 << 20
+#: Runs of two and three words are counted by cells of a hash, in ranges of SPAN cells.
+RUNS = (2, 3)
+CELL_BITS = 28
+SPAN = 1 << 16
+#: Counts of a cell end here; `least` must not be larger.
+MOST = (1 << 16) - 1
 #: Cells in which leading words are looked at when hot ones are split.
 ROUTE_CELLS = 1 << 16
-SEED = 42
 
 LOWER = np.frombuffer(LOWER_BYTES, np.uint8)
 CLASS = np.zeros(256, np.uint8)
@@ -82,10 +88,6 @@ class Words:
         """A number for each place that tells group and word."""
         return self.group * len(self.words) + self.code
 
-    def two(self) -> np.ndarray:
-        """The same for each place and the word before it; what it says at place 0 has no meaning."""
-        return self.one() * len(self.words) + np.roll(self.code, 1)
-
     def parts(self, numbers: np.ndarray, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """Groups and words that such numbers tell, first word first."""
         out = []
@@ -95,16 +97,6 @@ class Words:
         group, code = np.divmod(numbers, len(self.words))
         return group, [*out, code]
 
-    def marked(self, bits: np.ndarray, group: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
-        """Whether the cell of each (group, word, ...) is set in a bit map."""
-        seeds = [xxhash.xxh64_intdigest(g.encode(), SEED) for g in self.names]
-        texts = self.words.to_pylist()
-        cells = [seeds[g] for g in group.tolist()]
-        for code in codes:
-            cells = [xxhash.xxh64_intdigest(texts[c], h) for c, h in zip(code.tolist(), cells)]
-        cell = np.array(cells, np.uint64) & np.uint64(CELLS - 1)
-        return (bits[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
     def text(self, codes: np.ndarray) -> pa.Array:
         missing = codes < 0
         return self.words.take(pa.array(np.where(missing, 0, codes), mask=missing)).cast(pa.string())
@@ -122,7 +114,7 @@ def blocks(batch: pa.RecordBatch) -> Iterator[Words]:
             yield Words(part.field("text"), groups)
 
 
-def at_breaks(text: str, most: int = BLOCK // 4) -> Iterator[str]:
+def at_breaks(text: str, most: int = BLOCK // 2) -> Iterator[str]:
     """A long text in parts that end where a piece ends; a longer piece stays whole."""
     pattern, at = re.compile(f"[{re.escape(BREAK.decode())}]"), 0
     while at < len(text):
@@ -135,7 +127,7 @@ def at_breaks(text: str, most: int = BLOCK // 4) -> Iterator[str]:
 class Sums:
     """Rows with a count `n`, added up when there are many, so that few leave the task."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 400_000):
         self.tables, self.rows, self.most = [], 0, most
 
     def add(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -183,28 +175,87 @@ def count_words(words: Words) -> pa.Table:
     return _grouped(words, *words.parts(number, 1), n)
 
 
-def count_pairs(words: Words, bits: np.ndarray) -> pa.Table:
-    """Pairs of neighbours, of which both are frequent."""
-    each, place = np.unique(words.one(), return_inverse=True)
-    good = words.marked(bits, *words.parts(each, 1))[place]
-    both = good & np.roll(good, 1) & words.follows
-    number, n = np.unique(words.two()[both], return_counts=True)
-    return _grouped(words, *words.parts(number, 2), n)
-
-
-def count_suffixes(words: Words, bits: np.ndarray, longest: int) -> pa.Table:
-    """Suffixes of two words or more, which end before an infrequent pair."""
-    each, place = np.unique(words.two()[words.follows], return_inverse=True)
-    goes_on = words.follows.copy()
-    goes_on[words.follows] = words.marked(bits, *words.parts(each, 2))[place]
-    going = np.append(goes_on[1:], False)
-    at = np.flatnonzero(going)
-    codes = [words.code[at]]
+def cells_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the last word, cell) of all runs of `size` words in a piece."""
+    inside = words.follows.copy()
+    for k in range(1, size - 1):
+        inside[k:] &= words.follows[:-k]
+        inside[:k] = False
+    at = np.flatnonzero(inside)
+    letters = np.array([xxhash.xxh64_intdigest(w) for w in words.words.to_pylist()], np.uint64)
+    value = np.array([xxhash.xxh64_intdigest(g.encode()) for g in words.names], np.uint64)[words.group[at]]
+    for k in range(size - 1, -1, -1):
+        value = (value ^ letters[words.code[at - k]]) * np.uint64(0x9E3779B97F4A7C15)
+        value ^= value >> np.uint64(32)
+    return at, value >> np.uint64(64 - CELL_BITS)
+
+
+def count_cells(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """(size, range, entries): of each cell in a range its place there and its count, 16 bits each."""
+    for_size: dict[int, list[np.ndarray]] = {s: [] for s in RUNS}
+    rows = 0
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        for size, held in for_size.items():
+            cell, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            entry = ((cell & np.uint64(SPAN - 1)).astype(np.uint32) << np.uint32(16)) | np.minimum(n, MOST).astype(np.uint32)
+            part = (cell // np.uint64(SPAN)).astype(np.int64)
+            begin = np.flatnonzero(np.diff(part, prepend=-1))
+            parts = [x.tobytes() for x in np.split(entry, begin[1:])] if len(begin) else []
+            columns = [pa.array([size] * len(begin), pa.int32()), pa.array(part[begin], pa.int32()), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "range", "entries"])
+            held.clear()
+
+    for batch in batches:
+        for words in blocks(batch):
+            for size in RUNS:
+                for_size[size].append(cells_of(words, size)[1])
+            rows += len(words.code)
+            if rows > most:
+                yield from flushed()
+                rows = 0
+    yield from flushed()
+
+
+def merge_cells(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(size, range, bits): which cells of a range have `least` in all; one array of SPAN counts a range."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for size, part, entries in zip(*(batch[c].to_pylist() for c in ("size", "range", "entries"))):
+            held = sums.setdefault((size, part), np.zeros(SPAN, np.int32))
+            entry = np.frombuffer(entries, np.uint32)
+            place = entry >> np.uint32(16)
+            held[place] = np.minimum(held[place] + (entry & np.uint32(MOST)).astype(np.int32), MOST)
+    for (size, part), held in sums.items():
+        if (held >= least).any():
+            bits = np.packbits(held >= least, bitorder="little").tobytes()
+            columns = [pa.array([size], pa.int32()), pa.array([part], pa.int32()), pa.array([bits], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "range", "bits"])
+
+
+def bit_maps(texts: DataFrame, least: int) -> dict[int, np.ndarray]:
+    """For runs of each size a bit for every cell: set where the cell's runs reach `least` in all."""
+    counted = texts.mapInArrow(count_cells, "size int, range int, entries binary")
+    merged = counted.repartition("size", "range").mapInArrow(
+        lambda batches: merge_cells(batches, least), "size int, range int, bits binary"
+    )
+    maps = {size: np.zeros(1 << CELL_BITS >> 3, np.uint8) for size in RUNS}
+    for size, part, bits in merged.collect():  # 32 MB for each size at most
+        maps[size][part * SPAN // 8 : (part + 1) * SPAN // 8] = np.frombuffer(bytes(bits), np.uint8)
+    return maps
+
+
+def count_suffixes(words: Words, maps: dict[int, np.ndarray], longest: int) -> pa.Table:
+    """Suffixes of two words or more, which end before an infrequent pair or run of three."""
+    good = {size: np.zeros(len(words.code) + longest, bool) for size in RUNS}
+    for size, known in good.items():
+        at, cell = cells_of(words, size)
+        known[at] = (maps[size][cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    at = np.flatnonzero(good[2][1 : len(words.code)])
+    codes, padded = [words.code[at]], np.concatenate([words.code, np.zeros(longest, np.int64)])
     alive = np.ones(len(at), bool)
-    reach = np.concatenate([goes_on, np.zeros(longest, bool)])
-    padded = np.concatenate([words.code, np.zeros(longest, np.int64)])
     for k in range(1, longest):
-        alive = alive & reach[at + k]
+        alive = alive & good[2][at + k] & (good[3][at + k] if k > 1 else True)
         codes.append(np.where(alive, padded[at + k], -1))
     table = pa.table({"group": words.group[at]} | {f"w{k}": c for k, c in enumerate(codes, 1)} | {"n": np.ones(len(at), np.int64)})
     names = table.column_names[:-1]
@@ -213,17 +264,6 @@ def count_suffixes(words: Words, bits: np.ndarray, longest: int) -> pa.Table:
     return _grouped(words, column("group"), [column(c) for c in names[1:]], column("n_sum"))
 
 
-def bit_map(frequent: DataFrame, keys: list[str]) -> np.ndarray:
-    """One bit for the hash of each row's keys: CELLS / 8 bytes, whatever the number of rows."""
-    cell = F.xxhash64(*keys).bitwiseAND(F.lit(CELLS - 1))
-    rows = frequent.select(cell.alias("cell")).groupBy(F.shiftright("cell", 15).alias("block"))
-    bits = rows.agg(F.bitmap_construct_agg(F.col("cell").bitwiseAND(F.lit(32767))).alias("bits"))
-    out = np.zeros(CELLS // 8, np.uint8)
-    for block, some in bits.collect():
-        out[block * 4096 : block * 4096 + len(some)] = np.frombuffer(bytes(some), np.uint8)
-    return out
-
-
 # --- multikey quicksort --------------------------------------------------------------
 
 
@@ -326,13 +366,10 @@ def phrase_counts(
     words = cut_lineage(found.groupBy("group", "w1").agg(F.sum("n").alias("f")))
     sizes = words.groupBy("group").agg(F.sum("f").alias("n"))
     common = words.filter(F.col("f") >= least)
-    known = bit_map(common, ["group", "w1"])
-
-    found = texts.mapInArrow(summed(lambda w: count_pairs(w, known)), kind(2))
-    pairs = found.groupBy("group", "w1", "w2").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    pair_bits = bit_map(pairs, ["group", "w1", "w2"])
 
-    suffixes = cut_lineage(texts.mapInArrow(summed(lambda w: count_suffixes(w, pair_bits, longest)), kind(longest)))
+    maps = texts.sparkSession.sparkContext.broadcast(bit_maps(texts, least))
+    found = texts.mapInArrow(summed(lambda w: count_suffixes(w, maps.value, longest)), kind(longest))
+    suffixes = cut_lineage(found)
     dealt, short = routed(suffixes, longest, rows_each)
     schema = "group string, phrase string, words int, f bigint"
     phrases = dealt.mapInArrow(lambda batches: sort_suffixes(batches, least, longest), schema)
@@ -364,8 +401,8 @@ def mine(
     A phrase of which a longer one has `cover` percent of the occurrences or more is left out.
     `rows_each` is how many suffixes a task sorts.
     """
-    if longest < 2:
-        raise ValueError("phrases have two words at least")
+    if longest < 2 or not 1 <= least <= MOST:
+        raise ValueError(f"phrases have two words at least, and `least` is 1 to {MOST}")
     counts, sizes = phrase_counts(docs, text, group, least, longest, rows_each)
     phrases = counts.filter("words > 1")
 
