@@ -25,7 +25,8 @@ def _stamp(run_ts: datetime | None) -> Column:
     return F.current_timestamp() if run_ts is None else F.lit(run_ts)
 
 
-def _pipeline_id() -> Column:
+def workflow_id() -> Column:
+    """The id of a parsed document's workflow."""
     return surrogate_key("PipelineName", F.lit(PIPELINE_TYPE))
 
 
@@ -50,7 +51,7 @@ def _target_type(kind: Column, name: Column) -> Column:
 def pipelines(parsed: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """One row per valid document."""
     rows = valid_documents(parsed).select(
-        _pipeline_id().alias("PipelineId"),
+        workflow_id().alias("PipelineId"),
         "PipelineName",
         F.lit(PIPELINE_TYPE).alias("PipelineType"),
         F.lit(PIPELINE_LEVEL).alias("PipelineLevel"),
@@ -63,7 +64,7 @@ def activities(parsed: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """One row per included activity, repeated names included."""
     rows = valid_documents(parsed).select("PipelineName", F.inline("nodes"))
     rows = rows.withColumns(
-        {"ParentId": _pipeline_id(), "target": _target_name(F.col("type"), F.col("target"))}
+        {"ParentId": workflow_id(), "target": _target_name(F.col("type"), F.col("target"))}
     )
     kind, target, parent = F.col("type"), F.col("target"), F.col("ParentId")
     rows = rows.select(
@@ -170,7 +171,7 @@ def dependencies(
     `workflow` names a further column with the id of the document's pipeline.
     """
     source, sink, parent = F.col("source"), F.col("sink"), F.col("ParentId")
-    rows = _edges(parsed).withColumn("ParentId", _pipeline_id())
+    rows = _edges(parsed).withColumn("ParentId", workflow_id())
     rows = rows.select(
         surrogate_key(source["name"], source["type"], parent).alias("DependencySourceId"),
         surrogate_key(sink["name"], sink["type"], parent).alias("DependencyTargetId"),

@@ -53,7 +53,7 @@ def data_path(table: str, version: int) -> str:
     return f"{table}/data/version={version}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
@@ -61,7 +61,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def history(spark: SparkSession, table: str) -> DataFrame:
     """One row per finished version; empty for a table that does not exist."""
     folder = f"{table}/history"
-    if not _exists(spark, folder):
+    if not exists(spark, folder):
         return spark.createDataFrame([], HISTORY)
     return spark.read.schema(HISTORY).parquet(folder)
 

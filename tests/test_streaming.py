@@ -3,12 +3,13 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowatlas import plans, sources
 from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
 from flowatlas.sources import snapshots
-from flowatlas.streaming import ingest_arrivals, rejected_arrivals, sync_batch
+from flowatlas.streaming import ingest_arrivals, rejected_arrivals, remove_vanished, sync_batch
 
 RUN_TS = datetime(2024, 1, 1)
 
@@ -214,3 +215,106 @@ def test_workflow_without_activities_loses_its_rows(spark, folder):
     land(f"{folder}/landing", "second", workflow("p"))
     run(spark, folder)
     assert state(spark, folder) == ({"p", "q"}, {("q", "x")}, set())
+
+
+def dated(folder, name, seconds):
+    os.utime(f"{folder}/landing/{name}", (1_700_000_000 + seconds,) * 2)
+
+
+def test_older_document_that_arrives_late_changes_nothing(spark, folder):
+    land(f"{folder}/landing", "v2", workflow("p", ("a", [])))
+    dated(folder, "v2-0.json", 100)
+    run(spark, folder)
+    land(f"{folder}/landing", "v1", workflow("p", ("a", []), ("b", ["a"])), workflow("q", ("x", [])))
+    dated(folder, "v1-0.json", 0)
+    dated(folder, "v1-1.json", 0)
+    run(spark, folder)
+    assert state(spark, folder) == ({"p", "q"}, {("p", "a"), ("q", "x")}, set())
+
+
+def test_newest_document_counts_across_streams(spark, folder):
+    land(f"{folder}/landing", "new", workflow("p", ("n", [])))
+    dated(folder, "new-0.json", 100)
+    run(spark, folder)
+    land(f"{folder}/landing", "old", workflow("p", ("o", [])))
+    dated(folder, "old-0.json", 0)
+    run(spark, folder, checkpoint=f"{folder}/other", max_files=1)
+    assert state(spark, folder)[1] == {("p", "n")}
+
+
+def vanish(spark, folder, *names):
+    for name in names:
+        os.unlink(f"{folder}/landing/{name}")
+    return {r.table: r.asDict() for r in remove_vanished(spark, f"{folder}/landing", f"{folder}/tables", run_ts=RUN_TS).collect()}
+
+
+def test_workflows_of_vanished_files_go(spark, ingested):
+    counts = vanish(spark, ingested, "first-1.json")
+    assert state(spark, ingested) == ({"p", "r"}, {("p", "a"), ("p", "c"), ("r", "z")}, {("a", "c")})
+    assert {t: c["deleted"] for t, c in counts.items()} == {"pipelines_df": 1, "activities_df": 2, "dependencies_df": 1}
+    assert vanish(spark, ingested) == {}
+    run(spark, ingested)
+    assert state(spark, ingested)[0] == {"p", "r"}
+
+
+def test_older_document_counts_again_when_the_newer_goes(spark, folder):
+    land(f"{folder}/landing", "old", workflow("p", ("a", []), ("b", ["a"])))
+    land(f"{folder}/landing", "new", workflow("p", ("c", [])), workflow("q", ("x", [])))
+    for name, at in (("old-0.json", 0), ("new-0.json", 100), ("new-1.json", 100)):
+        dated(folder, name, at)
+    run(spark, folder, max_files=1)
+    assert state(spark, folder)[1] == {("p", "c"), ("q", "x")}
+    vanish(spark, folder, "new-0.json")
+    assert state(spark, folder) == ({"p", "q"}, {("p", "a"), ("p", "b"), ("q", "x")}, {("a", "b")})
+    # the mark went with the file: a document between the two counts again
+    land(f"{folder}/landing", "mid", workflow("p", ("m", [])))
+    dated(folder, "mid-0.json", 50)
+    run(spark, folder)
+    assert state(spark, folder)[1] == {("p", "m"), ("q", "x")}
+
+
+def test_losing_an_older_document_changes_no_table(spark, folder):
+    land(f"{folder}/landing", "old", workflow("p", ("a", [])))
+    land(f"{folder}/landing", "new", workflow("p", ("c", [])))
+    dated(folder, "old-0.json", 0)
+    dated(folder, "new-0.json", 100)
+    run(spark, folder)
+    counts = vanish(spark, folder, "old-0.json")
+    assert all(c["inserted"] == c["updated"] == c["deleted"] == 0 for c in counts.values())
+    assert vanish(spark, folder) == {} and state(spark, folder)[1] == {("p", "c")}
+
+
+def test_documents_of_another_landing_folder_stay(spark, folder):
+    land(f"{folder}/landing", "one", workflow("p", ("a", [])))
+    land(f"{folder}/elsewhere", "two", workflow("q", ("x", [])))
+    run(spark, folder)
+    ingest_arrivals(spark, f"{folder}/elsewhere", f"{folder}/tables", f"{folder}/other", run_ts=RUN_TS)
+    vanish(spark, folder, "one-0.json")
+    assert state(spark, folder)[1] == {("q", "x")}
+
+
+def test_replay_before_the_listing_was_written_decides_as_before(spark, folder):
+    """All three tables took the batch, the listing did not; the replay adds only that."""
+    land(f"{folder}/landing", "one", workflow("p", ("a", [])))
+    run(spark, folder)
+    before = versions(spark, folder)
+    path = f"{folder}/tables/arrived_documents"
+    snapshots.delete_folder(spark, f"{path}/history/version=0")
+    documents = sources.read_documents(spark, f"{folder}/landing")
+    sync_batch(documents, 0, f"{folder}/tables", run_ts=RUN_TS, stream_id=stream_id(folder))
+    assert versions(spark, folder) == before and snapshots.latest_version(spark, path) == 0
+    assert state(spark, folder)[1] == {("p", "a")}
+
+
+def test_takeover_after_append_keeps_one_row_of_each_key(spark, folder):
+    docs = [("/d", json.dumps(workflow("p", ("a", []), ("b", ["a"]))))]
+    tables, _ = plans.extract_all(spark, spark.createDataFrame(docs, "path STRING, value STRING"), run_ts=RUN_TS)
+    for _ in range(2):
+        plans.sync_all(tables, f"{folder}/tables", run_ts=RUN_TS, strategy="append")
+    orphan = tables["dependencies_df"].withColumns({c: F.lit("gone") for c in ("DependencySourceId", "DependencyTargetId")})
+    plans.sync_table(orphan, f"{folder}/tables/{dataset_name('dependencies_df')}", plans.sync.TABLE_KEYS["dependencies_df"], strategy="append")
+    land(f"{folder}/landing", "next", workflow("q", ("x", [])))
+    run(spark, folder)
+    assert sorted(r.ActivityName for r in table(spark, folder, "activities_df").collect()) == ["a", "b", "x"]
+    assert table(spark, folder, "dependencies_df").count() == 1
+    assert [r.digest for r in rejected_arrivals(spark, f"{folder}/tables").collect()] == ["gone>gone"]
