@@ -181,6 +181,18 @@ def new_workflows(orders: DataFrame) -> DataFrame:
     )
 
 
+def land(spark: SparkSession, waiting: str, landing: str) -> None:
+    """Move finished files to a landing folder, as `.json` and with the times they have."""
+    files = spark._jvm.org.apache.hadoop.fs
+    source, target = files.Path(waiting), files.Path(landing)
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for status in system.listStatus(source):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            system.rename(status.getPath(), files.Path(target, f"{name.rpartition('.')[0]}.json"))
+
+
 def arrivals(orders: DataFrame) -> list[DataFrame]:
     """`(name, properties)` of the old and the new state; in each a workflow has one document."""
     name = "concat('order_', k)"

@@ -204,6 +204,13 @@ def _arrived(name: str) -> str:
         UNION ALL SELECT * FROM (WITH {late} {_unique(name)})"""
 
 
+def _shown(name: str) -> str:
+    """All columns of a table as one string."""
+    columns = sorted([*_TABLES[name][0], *_TABLES[name][1]])
+    shown = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    return f"""SELECT '{name}_df' AS "table", concat_ws('|', {shown}) AS "columns" FROM {name}"""
+
+
 def _table_counts(name: str) -> str:
     keys, values = _TABLES[name]
     on = " AND ".join(f"o.{key} = n.{key}" for key in keys)
@@ -321,7 +328,12 @@ ORACLE: dict[str, str] = {
     ),
     "extract_counts_per_document": _from_extract(_PER_DOCUMENT),
     "single_document_run": _from_extract(
-        "SELECT * FROM activities", where=f"{_PATH} = (SELECT min({_PATH}) FROM orders)"
+        "SELECT * FROM activities",
+        where=f"{_PATH} = (SELECT min({_PATH}) FROM orders WHERE day(o_orderdate) < 28)",
+    ),
+    "single_document_counts": _from_extract(
+        " UNION ALL ".join(f"SELECT '{n}_df' AS \"table\", count(*) AS n FROM {n}" for n in _TABLES),
+        where=f"{_PATH} = (SELECT min({_PATH}) FROM orders)",
     ),
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS duplicate_count FROM lineitem
@@ -343,7 +355,8 @@ ORACLE: dict[str, str] = {
             || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}')) AS BIGINT) AS json_bytes
         FROM customer""",
     "list_landed_files": """
-        SELECT 'r_regionkey=' || r_regionkey AS folder, count(*) AS n_files FROM region GROUP BY 1""",
+        SELECT 'month=' || strftime(o_orderdate, '%Y-%m') AS folder, CAST(1 AS BIGINT) AS n_files
+        FROM orders GROUP BY 1""",
     "dataframe_profile": """
         SELECT 'conversations' AS label, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_columns,
                CAST(sum(coalesce(length(role), 0) + coalesce(length(text), 0)) AS BIGINT)
@@ -431,12 +444,7 @@ ORACLE: dict[str, str] = {
     "snapshot_history_untimed": """
         SELECT * FROM (VALUES (CAST(0 AS BIGINT), 'create', true), (1, 'upsert', true))
             AS t(version, operation, timed)""",
-    "json_roundtrip": _from_extract("""
-        SELECT 'activities_df' AS "table", ActivityId AS id, ParentId AS other FROM activities
-        UNION ALL
-        SELECT 'pipelines_df', PipelineId, PipelineName FROM pipelines
-        UNION ALL
-        SELECT 'dependencies_df', DependencySourceId, DependencyTargetId FROM dependencies"""),
+    "json_roundtrip": _from_extract(" UNION ALL ".join(map(_shown, _TABLES))),
     "views_query": _from_extract("""
         SELECT name, n_calls, n_documents FROM (
             SELECT ActivityTargetName AS name, count(*) AS n_calls FROM activities
@@ -451,6 +459,9 @@ ORACLE: dict[str, str] = {
     "incremental_quarantine": f"""
         SELECT {_REASONS} AS failure, count(*) AS n FROM orders
         WHERE {_REASONS} IS NOT NULL GROUP BY 1""",
+    "incremental_late_files": _arrived("activities"),
+    "incremental_removed_files": f"""
+        WITH {_extract(_OLD, "dataflow_", name=_BY_ORDER)} {_unique("activities")}""",
     "surrogate_key": """
         SELECT o_orderkey, sha256(concat_ws('|',
             CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END,

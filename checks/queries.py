@@ -11,7 +11,7 @@ from checks.fixtures import LATER_TS, RUN_TS, table
 from flowatlas import functions as fx, operators as ops, plans, sources
 from flowatlas.schemas import PIPELINES, TABLE_SCHEMAS, conform
 from flowatlas.session import shared_folder
-from flowatlas.streaming import ingest_arrivals, rejected_arrivals, sync_batch
+from flowatlas.streaming import ingest_arrivals, rejected_arrivals, remove_vanished
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,11 +60,11 @@ def list_json_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def list_landed_files(spark: SparkSession, sf: str) -> DataFrame:
-    """A folder of JSON files for each region, beside files of another kind."""
+    """A JSON file of orders for each month, beside files of another kind."""
     folder = shared_folder(spark, "listing")
-    regions = table(spark, sf, "region").repartition(1)
-    regions.write.partitionBy("r_regionkey").json(folder)
-    regions.write.mode("append").partitionBy("r_regionkey").parquet(folder)
+    orders = table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    orders.repartition("month").write.partitionBy("month").json(folder)
+    orders.repartition("month").write.mode("append").partitionBy("month").parquet(folder)
     files = sources.list_files(spark, folder).filter("size > 0 AND modificationTime IS NOT NULL")
     parent = F.element_at(F.split("path", "/"), -2).alias("folder")
     return files.groupBy(parent).agg(F.count("*").alias("n_files"))
@@ -190,11 +190,21 @@ def extract_counts_per_document(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def single_document_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The first document that has activities."""
     documents = fixtures.workflow_documents(table(spark, sf, "orders"))
-    tables, _ = plans.extract_all(spark, plans.first_document(documents))
+    filled = documents.filter(F.col("value").contains('"activities":[{'))
+    tables, _ = plans.extract_all(spark, plans.first_document(filled))
     return _untimed(tables["activities_df"])
 
 
+def single_document_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the very first document gives; it has no activities in the given tables."""
+    documents = fixtures.workflow_documents(table(spark, sf, "orders"))
+    tables, _ = plans.extract_all(spark, plans.first_document(documents))
+    found = [df.agg(F.count("*").alias("n")).select(F.lit(n).alias("table"), "n") for n, df in tables.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- checks on keys ----------------------------------------------------------------
 
 
@@ -427,20 +437,14 @@ def snapshot_history_untimed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """The three tables as JSON files, read back."""
+    """The three tables as JSON files, read back: every column of every row."""
     folder = shared_folder(spark, "json")
     plans.write_json_tables(plans.extraction.tables_of(_parsed(spark, sf), RUN_TS), folder)
-    keys = {
-        "activities_df": ("ActivityId", "ParentId"),
-        "pipelines_df": ("PipelineId", "PipelineName"),
-        "dependencies_df": ("DependencySourceId", "DependencyTargetId"),
-    }
-    found = [
-        spark.read.schema(TABLE_SCHEMAS[name])
-        .json(f"{folder}/{name}")
-        .select(F.lit(name).alias("table"), F.col(a).alias("id"), F.col(b).alias("other"))
-        for name, (a, b) in keys.items()
-    ]
+    found = []
+    for name, schema in TABLE_SCHEMAS.items():
+        rows = _untimed(spark.read.schema(schema).json(f"{folder}/{name}"))
+        shown = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(rows.columns)]
+        found.append(rows.select(F.lit(name).alias("table"), F.concat_ws("|", *shown).alias("columns")))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -512,19 +516,38 @@ def incremental_two_streams(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Damaged documents as lines of landed files: how many failed for which reason."""
     root = shared_folder(spark, "damaged")
-    damaged = fixtures.damaged_documents(table(spark, sf, "orders")).select("value")
-    batch = damaged.withColumns(
-        {
-            "path": F.lit("landing/lines.json"),
-            "size": F.octet_length("value"),
-            "modified": F.lit(RUN_TS),
-        }
-    )
-    sync_batch(batch, 0, root, stream_id="lines", run_ts=RUN_TS)
-    rejected = rejected_arrivals(spark, root).filter("digest IS NOT NULL")
+    fixtures.damaged_documents(table(spark, sf, "orders")).select("value").write.text(f"{root}/waiting")
+    fixtures.land(spark, f"{root}/waiting", f"{root}/landing")
+    ingest_arrivals(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint", per_line=True, run_ts=RUN_TS)
+    rejected = rejected_arrivals(spark, f"{root}/tables").filter("digest IS NOT NULL AND path LIKE '%/landing/%'")
     return rejected.groupBy("failure").agg(F.count("*").alias("n"))
 
 
+def incremental_late_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The newer state arrives first, then files of the older one, with older times."""
+    root = shared_folder(spark, "late")
+    old, new = fixtures.arrivals(table(spark, sf, "orders"))
+    options = {"checkpoint": f"{root}/checkpoint", "per_line": True}
+    old.write.json(f"{root}/waiting")
+    new.write.json(f"{root}/landing/new")
+    ingest_arrivals(spark, f"{root}/landing", f"{root}/tables", run_ts=RUN_TS, **options)
+    fixtures.land(spark, f"{root}/waiting", f"{root}/landing/old")
+    ingest_arrivals(spark, f"{root}/landing", f"{root}/tables", run_ts=LATER_TS, **options)
+    return _untimed(sources.read_snapshot(spark, f"{root}/tables/{plans.dataset_name('activities_df')}"))
+
+
+def incremental_removed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Both states arrive, then the files of the newer go: the older documents count again."""
+    root = shared_folder(spark, "removed")
+    old, new = fixtures.arrivals(table(spark, sf, "orders"))
+    old.write.json(f"{root}/landing/old")
+    new.write.json(f"{root}/landing/new")
+    ingest_arrivals(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint", per_line=True, run_ts=RUN_TS)
+    sources.snapshots.delete_folder(spark, f"{root}/landing/new")
+    remove_vanished(spark, f"{root}/landing", f"{root}/tables", per_line=True, run_ts=LATER_TS)
+    return _untimed(sources.read_snapshot(spark, f"{root}/tables/{plans.dataset_name('activities_df')}"))
+
+
 # --- scalar functions --------------------------------------------------------------
 
 
@@ -588,6 +611,7 @@ QUERIES: dict[str, Query] = {
         extract_counts,
         extract_counts_per_document,
         single_document_run,
+        single_document_counts,
         duplicate_keys,
         dedupe_by_key,
         validate_unique,
@@ -628,6 +652,8 @@ QUERIES: dict[str, Query] = {
         incremental_pipelines,
         incremental_two_streams,
         incremental_quarantine,
+        incremental_late_files,
+        incremental_removed_files,
         surrogate_key,
         uuid_ids,
         path_last_part,
