@@ -62,6 +62,14 @@ def with_new(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.withColumns(columns)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or it with underscores behind it until no column of `df` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_function(make: Callable[[], Callable[[pa.Array], pa.Array]], returns: str, most: int | None = None):
     """A Spark function of one column; `make` runs once a task and gives the batch function.
 
