@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowatlas.llm import bpe, decontaminate, language, pii, simhash
-from flowatlas.llm.common import cut_lineage, read
+from flowatlas.llm.common import cut_lineage, free_name, read
 from flowatlas.llm.queries import RANKS, TOKENIZER
 
 #: Below this share of its words no language holds a text. Mixed texts of two languages stay.
@@ -20,8 +20,9 @@ LEAST_SHARE = 0.3
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter (null ones too) and those that no language holds."""
     model = language.train(docs, learn_from=language.learnable())
-    found = language.identify(docs, model, into="_language")
-    kept = (F.col("_language.lang_pred") != "und") & (F.col("_language.score") >= LEAST_SHARE)
+    into = free_name(docs, "_language")
+    found = language.identify(docs, model, into=into)
+    kept = (F.col(into)["lang_pred"] != "und") & (F.col(into)["score"] >= LEAST_SHARE)
     return found.filter(kept).select(*docs.columns)
 
 
@@ -37,16 +38,17 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind in brackets; n_chars follows the new text."""
-    found = pii.find_personal_data(docs, pii.train(docs), into="_pii")
-    changed = F.size("_pii.spans") > 0
-    text = F.col("_pii.redacted")
+    into = free_name(docs, "_pii")
+    found = pii.find_personal_data(docs, pii.train(docs), into=into)
+    changed = F.size(F.col(into)["spans"]) > 0
+    text = F.col(into)["redacted"]
     new = {"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))}
     return found.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with whether decoding gives the text back."""
-    encoded = bpe.encode(docs, TOKENIZER, RANKS)
+    encoded = bpe.encode(docs.select("doc_id", "text"), TOKENIZER, RANKS)
     decoded = bpe.decode(encoded, TOKENIZER)
     exact = F.col("decoded") == F.coalesce("text", F.lit(""))
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", exact.alias("exact"))
