@@ -7,11 +7,11 @@ a partition is split by the word at its depth into smaller, equal and larger one
 ones go on at the next depth and their sizes are the counts of the phrases read so far. A
 partition lighter than `least` is abandoned, as nothing in it can be frequent.
 
-Before that, runs of two and three words are counted by cells of a hash, 2^28 of them, and
+Before that, runs of two and three words are counted by cells of a hash, 2^27 of them, and
 suffixes end where a run's cell is lighter than `least`. Counts travel as sorted arrays, four
 bytes for a cell and task, and are added up in arrays of fixed size; the tasks are told by a bit
-for each cell (32 MB). A cell holds all occurrences of its runs and perhaps others', so no frequent
-phrase is lost, and a run too many costs time only, as the sort counts anew. Beyond some 100 GB
+for each cell (16 MB). A cell holds all occurrences of its runs and perhaps others', so no frequent
+phrase is lost, and a run too many costs time only, as the sort counts anew. Beyond some 50 GB
 most cells are heavy and little is left out: then all suffixes are routed.
 
 Hot leading words. Where a hash cell of leading words holds over a 1024th of all suffixes
@@ -34,13 +34,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowatlas.llm.arrow_bytes import flat
-from flowatlas.llm.common import LOWER_BYTES, cut_lineage, slices
+from flowatlas.llm.common import LOWER_BYTES, bound_batches, cut_lineage, slices
 
 SPACE, BREAK = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 BLOCK = 3 << 20
 #: Runs of two and three words are counted by cells of a hash, in ranges of SPAN cells.
 RUNS = (2, 3)
-CELL_BITS = 28
+CELL_BITS = 27
 SPAN = 1 << 16
 #: Counts of a cell end here; `least` must not be larger.
 MOST = (1 << 16) - 1
@@ -160,6 +160,7 @@ def summed(read):
             for words in blocks(batch):
                 yield from sums.add(read(words))
         yield from sums.rest()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -187,19 +188,19 @@ def cells_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(size - 1, -1, -1):
         value = (value ^ letters[words.code[at - k]]) * np.uint64(0x9E3779B97F4A7C15)
         value ^= value >> np.uint64(32)
-    return at, value >> np.uint64(64 - CELL_BITS)
+    return at, (value >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
 
 
-def count_cells(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def count_cells(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """(size, range, entries): of each cell in a range its place there and its count, 16 bits each."""
     for_size: dict[int, list[np.ndarray]] = {s: [] for s in RUNS}
     rows = 0
 
     def flushed() -> Iterator[pa.RecordBatch]:
         for size, held in for_size.items():
-            cell, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-            entry = ((cell & np.uint64(SPAN - 1)).astype(np.uint32) << np.uint32(16)) | np.minimum(n, MOST).astype(np.uint32)
-            part = (cell // np.uint64(SPAN)).astype(np.int64)
+            cell, n = np.unique(np.concatenate([np.zeros(0, np.uint32), *held]), return_counts=True)
+            entry = ((cell & np.uint32(SPAN - 1)) << np.uint32(16)) | np.minimum(n, MOST).astype(np.uint32)
+            part = (cell // np.uint32(SPAN)).astype(np.int32)
             begin = np.flatnonzero(np.diff(part, prepend=-1))
             parts = [x.tobytes() for x in np.split(entry, begin[1:])] if len(begin) else []
             columns = [pa.array([size] * len(begin), pa.int32()), pa.array(part[begin], pa.int32()), pa.array(parts, pa.binary())]
@@ -215,6 +216,7 @@ def count_cells(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Ite
                 yield from flushed()
                 rows = 0
     yield from flushed()
+    pa.default_memory_pool().release_unused()
 
 
 def merge_cells(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -222,10 +224,10 @@ def merge_cells(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Re
     sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         for size, part, entries in zip(*(batch[c].to_pylist() for c in ("size", "range", "entries"))):
-            held = sums.setdefault((size, part), np.zeros(SPAN, np.int32))
+            held = sums.setdefault((size, part), np.zeros(SPAN, np.uint16))
             entry = np.frombuffer(entries, np.uint32)
             place = entry >> np.uint32(16)
-            held[place] = np.minimum(held[place] + (entry & np.uint32(MOST)).astype(np.int32), MOST)
+            held[place] = np.minimum(held[place] + (entry & np.uint32(MOST)), MOST)
     for (size, part), held in sums.items():
         if (held >= least).any():
             bits = np.packbits(held >= least, bitorder="little").tobytes()
@@ -240,7 +242,7 @@ def bit_maps(texts: DataFrame, least: int) -> dict[int, np.ndarray]:
         lambda batches: merge_cells(batches, least), "size int, range int, bits binary"
     )
     maps = {size: np.zeros(1 << CELL_BITS >> 3, np.uint8) for size in RUNS}
-    for size, part, bits in merged.collect():  # 32 MB for each size at most
+    for size, part, bits in merged.collect():  # 16 MB for each size at most
         maps[size][part * SPAN // 8 : (part + 1) * SPAN // 8] = np.frombuffer(bytes(bits), np.uint8)
     return maps
 
@@ -250,7 +252,7 @@ def count_suffixes(words: Words, maps: dict[int, np.ndarray], longest: int) -> p
     good = {size: np.zeros(len(words.code) + longest, bool) for size in RUNS}
     for size, known in good.items():
         at, cell = cells_of(words, size)
-        known[at] = (maps[size][cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        known[at] = (maps[size][cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
     at = np.flatnonzero(good[2][1 : len(words.code)])
     codes, padded = [words.code[at]], np.concatenate([words.code, np.zeros(longest, np.int64)])
     alive = np.ones(len(at), bool)
@@ -360,6 +362,7 @@ def phrase_counts(
 ) -> tuple[DataFrame, DataFrame]:
     """(group, phrase, words, f) of all phrases with f >= least, and (group, n) with all words."""
     texts = docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("group"), F.col(text).alias("text"))
+    bound_batches(docs.sparkSession)
     kind = lambda words: "group string, " + "".join(f"w{k} string, " for k in range(1, words + 1)) + "n bigint"
 
     found = texts.mapInArrow(summed(count_words), kind(1))
