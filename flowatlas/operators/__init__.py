@@ -1,3 +1,4 @@
+from flowatlas.operators.calls import call_closure, direct_calls
 from flowatlas.operators.changes import (
     ACTION,
     apply_changes,
@@ -8,6 +9,7 @@ from flowatlas.operators.changes import (
     count_deleted,
     count_inserted,
     keep_present,
+    keys_counted,
     null_keyed,
     rows_changed,
 )
@@ -24,6 +26,7 @@ from flowatlas.operators.quality import (
     check_unique,
     dedupe_by_key,
     duplicate_keys,
+    key_collisions,
     profile,
 )
 
@@ -34,6 +37,7 @@ __all__ = [
     "activity_lookup",
     "append_rows",
     "apply_changes",
+    "call_closure",
     "change_counts",
     "changed",
     "check_unique",
@@ -44,8 +48,11 @@ __all__ = [
     "counts_per_document",
     "dedupe_by_key",
     "dependencies",
+    "direct_calls",
     "duplicate_keys",
     "keep_present",
+    "key_collisions",
+    "keys_counted",
     "null_keyed",
     "pipelines",
     "profile",

@@ -15,6 +15,10 @@ from flowatlas.operators.quality import require_keys
 
 ACTION = "change_action"
 INSERT, UPDATE, DELETE, SAME = "insert", "update", "delete", "same"
+# A source row that cannot be stored as a key of it is NULL; only counted.
+NULL_KEY = "null_key"
+# Private column: how many source rows have a key, see `keys_counted`.
+KEY_ROWS = "_key_rows"
 # Columns that are stamped per run say nothing about a change.
 STAMPED = ("CreatedDate",)
 
@@ -33,6 +37,26 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(~_any_null(keys))
 
 
+def keys_counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each key, any of those that have it, with their number in `KEY_ROWS`.
+
+    Rows of a key are reduced in each task before they move; the keys stay partitioned and
+    sorted for a join by them. NULLs count as equal.
+    """
+    keys = require_keys(keys)
+    if KEY_ROWS in df.columns:
+        raise ValueError(f"the name {KEY_ROWS} is taken for the number of rows of a key")
+    rest = [c for c in df.columns if c not in keys]
+    first = F.first(F.struct(*rest)) if rest else F.first(F.lit(None))
+    found = df.groupBy(*keys).agg(first.alias("_row"), F.count("*").alias(KEY_ROWS))
+    return found.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns], KEY_ROWS)
+
+
+def repeated_key(keys: Sequence[str]) -> Column:
+    """Aggregate over rows with `KEY_ROWS`: the keys of one that repeats as JSON, or NULL."""
+    return F.max(F.when(F.col(KEY_ROWS) > 1, F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})))
+
+
 def changed(
     old: str,
     new: str,
@@ -73,8 +97,13 @@ def classify(
     With `delete_missing=False` nothing is deleted. With `delete_scope`, a DataFrame
     over some of the target's columns, only target rows found in it are; a source that
     is a part of the whole says nothing about the rest.
+
+    A source from `keys_counted` brings its counts to the result. Its rows with a NULL key then
+    come through as `null_key`, one for each key, so that whoever reads the result sees them all.
     """
     keys = require_keys(keys)
+    counted = KEY_ROWS in source.columns
+    full_source, source = source, source.drop(KEY_ROWS)
     require_same_types(target, source)
     columns = [*target.columns, *(c for c in source.columns if c not in target.columns)]
     old_values = [c for c in columns if c not in keys] or keys
@@ -88,11 +117,14 @@ def classify(
     else:
         scope_flag = []
     old = with_keys(target, keys).select(*keys, F.struct(*old_values).alias("old"), *scope_flag)
-    new = with_keys(source, keys).select(*keys, F.struct(*new_values).alias("new"))
+    if counted:
+        new = full_source.select(*keys, F.struct(*new_values).alias("new"), KEY_ROWS)
+    else:
+        new = with_keys(source, keys).select(*keys, F.struct(*new_values).alias("new"))
     both = old.join(new, keys, "full_outer")
-    rows = decided(both, columns, keys, new_values, old_only, ignore_columns, null_safe)
+    rows = decided(both, columns, keys, new_values, old_only, ignore_columns, null_safe, counted)
     unmatched = null_keyed(target, keys).select(*columns, old_only.alias(ACTION))
-    return rows.unionByName(unmatched)
+    return rows.unionByName(unmatched, allowMissingColumns=counted)
 
 
 def decided(
@@ -103,10 +135,13 @@ def decided(
     old_only: Column,
     ignore_columns: Sequence[str],
     null_safe: bool,
+    counted: bool = False,
 ) -> DataFrame:
     """Rows of keys with an `old` and a `new` struct as table columns with their change."""
+    unusable = _any_null(keys) if counted else F.lit(False)
     action = (
-        F.when(F.col("old").isNull(), F.lit(INSERT))
+        F.when(unusable, F.lit(NULL_KEY))
+        .when(F.col("old").isNull(), F.lit(INSERT))
         .when(F.col("new").isNull(), old_only)
         .when(changed("old", "new", new_values, ignore_columns, null_safe), F.lit(UPDATE))
         .otherwise(F.lit(SAME))
@@ -122,7 +157,8 @@ def decided(
             .alias(column)
         )
 
-    return both.select(*[F.col(c) if c in keys else value(c) for c in columns], action.alias(ACTION))
+    values = [F.col(c) if c in keys else value(c) for c in columns]
+    return both.select(*values, action.alias(ACTION), *([KEY_ROWS] if counted else []))
 
 
 def _delete_action(delete_missing: bool, delete_scope: DataFrame | None) -> Column:
@@ -135,7 +171,7 @@ def _delete_action(delete_missing: bool, delete_scope: DataFrame | None) -> Colu
 
 def apply_changes(changes: DataFrame) -> DataFrame:
     """The rows of the table after the changes."""
-    return changes.filter(F.col(ACTION) != DELETE).drop(ACTION)
+    return changes.filter(~F.col(ACTION).isin(DELETE, NULL_KEY)).drop(ACTION, KEY_ROWS)
 
 
 def count_columns() -> list[Column]:

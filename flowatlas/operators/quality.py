@@ -23,6 +23,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.filter("duplicate_count > 1")
 
 
+def key_collisions(df: DataFrame, keys: Sequence[str], natural: Sequence[str]) -> DataFrame:
+    """Keys of more than one row: `n_rows`, `n_natural` and whether they are a `collision`.
+
+    `natural` are the columns that a key is made from. A key whose rows agree in them is a true
+    duplicate; one with different values is a collision: parts with the separator in them, or
+    an empty part, gave the same key. NULL and an empty text are different values. Rows are
+    counted by key and natural columns first, so a key of many rows moves as few.
+    """
+    keys, natural = require_keys(keys), require_keys(natural)
+    rest = [c for c in natural if c not in keys]
+    each = df.groupBy(*keys, *rest).agg(F.count("*").alias("_n"))
+    found = each.groupBy(*keys).agg(F.sum("_n").alias("n_rows"), F.count("*").alias("n_natural"))
+    return found.filter("n_rows > 1").withColumn("collision", F.col("n_natural") > 1)
+
+
 def dedupe_by_key(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None
 ) -> DataFrame:

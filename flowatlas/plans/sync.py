@@ -1,29 +1,35 @@
 """Bring stored tables into line with new extracts, one version per sync."""
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from flowatlas.operators.changes import (
     ACTION,
     INSERT,
+    KEY_ROWS,
+    NULL_KEY,
     SAME,
     STAMPED,
     append_rows,
     apply_changes,
     classify,
     count_columns,
+    keys_counted,
     null_keyed,
+    repeated_key,
     with_keys,
 )
-from flowatlas.operators.quality import check_unique, dedupe_by_key, duplicate_keys
+from flowatlas.operators.quality import DuplicateKeysError, check_unique, dedupe_by_key, duplicate_keys
 from flowatlas.plans.naming import dataset_name
 from flowatlas.plans.together import run_together
 from flowatlas.schemas import TABLE_KEYS
-from flowatlas.sources import snapshots
+from flowatlas.sources import groups, snapshots
 
 STRATEGIES = ("upsert", "append", "replace")
 
@@ -61,6 +67,10 @@ def sync_table(
     Order: keys are checked, NULL keys set aside (by every strategy), both sides joined
     once, the result written once. The counts are observed on the rows as they are written.
 
+    With `on_duplicate="raise"` the rows of each key are counted on their way to the write, so
+    the source runs once. If a key repeats, the version is not committed and its files go: the
+    table stays as it was.
+
     `day_column` partitions the files by the day of a timestamp; `buckets` buckets them
     by the keys. A table keeps the layout it has. Stored keys may repeat after an append or
     a plain write; the next upsert keeps the first row of each, by its other columns.
@@ -70,10 +80,13 @@ def sync_table(
     spark = source.sparkSession
     if strategy == "append":
         unique, duplicates = source, duplicate_keys(source, keys)
+    elif on_duplicate == "raise":
+        unique, duplicates = keys_counted(source, keys), duplicate_keys(source, keys)
     else:
         unique, duplicates = check_unique(source, keys, on_duplicate, order_by)
     rejected = null_keyed(source, keys)
-    unique = with_keys(unique, keys)
+    if KEY_ROWS not in unique.columns:
+        unique = with_keys(unique, keys)
     entry = snapshots.latest_entry(spark, path)
     if entry is not None and not buckets and not day_column:
         day_column = entry["day_column"]
@@ -96,13 +109,17 @@ def sync_table(
         kept = target.withColumn(ACTION, F.lit(SAME))
         changes = append_rows(kept, unique.withColumn(ACTION, F.lit(INSERT)))
     else:
-        changes = unique.withColumn(ACTION, F.lit(INSERT))
+        whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        changes = unique.withColumn(ACTION, F.when(whole, F.lit(INSERT)).otherwise(F.lit(NULL_KEY)))
     if day_column:
         changes = snapshots.by_day(changes, day_column)
     elif layout and (entry is None or strategy != "upsert"):
         changes = changes.repartition(layout.count, *layout.keys)
     version = 0 if entry is None else entry["version"] + 1
-    counts = _write_counted(changes, path, version, layout, day_column)
+    counts, repeated = _write_counted(changes, path, keys, version, layout, day_column)
+    if repeated is not None:
+        snapshots.discard_data(spark, path, version)
+        raise DuplicateKeysError(f"duplicate key {json.loads(repeated)}")
     snapshots.commit_version(
         spark, path, version, strategy, counts, run_ts, batch_id, layout, stream_id, day_column
     )
@@ -112,16 +129,19 @@ def sync_table(
 def _write_counted(
     changes: DataFrame,
     path: str,
+    keys: Sequence[str],
     version: int,
     layout: snapshots.Buckets | None,
     day_column: str | None,
-) -> dict[str, int]:
+) -> tuple[dict[str, int], str | None]:
+    """The counts, and a key that repeats as JSON where the rows of each are counted."""
     # Nothing is shuffled between the observation and the write, so the counts come
     # from the tasks that commit the files, each taken once however often it is retried.
     seen = Observation()
-    observed = changes.observe(seen, *count_columns())
+    gate = [repeated_key(keys).alias("repeated")] if KEY_ROWS in changes.columns else []
+    observed = changes.observe(seen, *count_columns(), *gate)
     snapshots.write_data(apply_changes(observed), path, version, layout, day_column)
-    return {name: int(seen.get[name]) for name in snapshots.COUNTS}
+    return {name: int(seen.get[name]) for name in snapshots.COUNTS}, seen.get["repeated"] if gate else None
 
 
 def validate_all(
@@ -141,12 +161,15 @@ def sync_all(
     delete_scopes: Mapping[str, DataFrame] | None = None,
     **options,
 ) -> dict[str, SyncResult]:
-    """Check and sync every table below `root`; see `sync_table` for the options."""
+    """Check and sync every table below `root`; see `sync_table` for the options.
+
+    When all are written they become visible together, see `sources.read_group`.
+    """
     scopes = delete_scopes or {}
     if not tables:
         return {}
     spark = next(iter(tables.values())).sparkSession
-    return run_together(
+    results = run_together(
         spark,
         {
             name: partial(
@@ -161,6 +184,9 @@ def sync_all(
             for name, df in tables.items()
         },
     )
+    versions = {name: (dataset_name(name), result.version) for name, result in results.items()}
+    groups.commit_group(spark, root, versions, options.get("run_ts"))
+    return results
 
 
 def summary(spark: SparkSession, results: Mapping[str, SyncResult]) -> DataFrame:

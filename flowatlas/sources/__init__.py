@@ -5,6 +5,7 @@ from flowatlas.sources.documents import (
     list_files,
     read_documents,
 )
+from flowatlas.sources.groups import commit_group, group_history, group_versions, read_group
 from flowatlas.sources.parse import (
     parse_documents,
     rejected_documents,
@@ -15,6 +16,7 @@ from flowatlas.sources.parse import (
 from flowatlas.sources.snapshots import (
     create_if_absent,
     drop_versions,
+    forget_version,
     history,
     latest_version,
     read_days,
@@ -23,10 +25,14 @@ from flowatlas.sources.snapshots import (
 )
 
 __all__ = [
+    "commit_group",
     "create_if_absent",
     "document_profile",
     "drop_versions",
     "filter_paths",
+    "forget_version",
+    "group_history",
+    "group_versions",
     "history",
     "json_files",
     "latest_version",
@@ -34,6 +40,7 @@ __all__ = [
     "parse_documents",
     "read_days",
     "read_documents",
+    "read_group",
     "read_snapshot",
     "rejected_documents",
     "require_valid",

@@ -282,6 +282,17 @@ def drop_versions(spark: SparkSession, table: str, before: int) -> None:
                 delete_folder(spark, path)
 
 
+def forget_version(spark: SparkSession, table: str, version: int) -> None:
+    """Remove a bucketed version's entry in the catalog; its files stay and can be read."""
+    spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(data_path(table, version))}")
+
+
+def discard_data(spark: SparkSession, table: str, version: int) -> None:
+    """Remove the rows of a version that was written and is not to be committed."""
+    forget_version(spark, table, version)
+    delete_folder(spark, data_path(table, version))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -267,7 +267,7 @@ def test_sync_all_and_summaries(spark, folder):
     summary = plans.summary(spark, results)
     assert {r.table: (r.version, r.inserted) for r in summary.collect()} == {"a_df": (0, 1), "b": (0, 1)}
     assert tuple(plans.total_summary(summary).first()) == (2, 0, 0, 0)
-    assert sorted(os.listdir(folder)) == ["b", "data_quality__adf_a"]
+    assert sorted(os.listdir(folder)) == ["b", "data_quality__adf_a", "table_states"]
     validated = plans.validate_all(tables, keys)
     assert {n: (u.count(), d.count()) for n, (u, d) in validated.items()} == {"a_df": (1, 1), "b": (1, 0)}
 
@@ -311,3 +311,42 @@ def test_bucketed_target_is_not_shuffled(spark, folder):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange") == 1
     assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+
+
+def test_a_repeated_key_leaves_the_table_as_it_was(spark, folder):
+    plans.sync_table(rows(spark, FIRST, ("1", "A")), folder, ["id"])
+    for source in (
+        rows(spark, SECOND, ("1", "B"), ("2", "C"), ("2", "D")),
+        rows(spark, SECOND, ("1", "B"), (None, "C"), (None, "D")),
+    ):
+        for strategy in ("upsert", "replace"):
+            with pytest.raises(ops.DuplicateKeysError):
+                plans.sync_table(source, folder, ["id"], strategy=strategy)
+            assert stored(spark, folder) == [("1", "A", FIRST)]
+            assert not os.path.exists(f"{folder}/data/version=1")
+    again = plans.sync_table(rows(spark, SECOND, ("1", "B"), (None, "C")), folder, ["id"])
+    assert (again.version, counts(again)) == (1, (0, 1, 0, 0))
+
+
+def test_the_key_gate_runs_the_source_once(spark, folder):
+    plans.sync_table(rows(spark, FIRST, ("0", "A")), folder, ["id"])
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = rows(spark, SECOND, *[(str(i), "B") for i in range(50)])
+    result = plans.sync_table(source.mapInPandas(noted, source.schema), folder, ["id"])
+    assert counts(result) == (49, 1, 0, 0) and seen.value == 50
+
+
+def test_a_hot_key_is_reduced_before_it_moves(spark):
+    source = rows(spark, FIRST, *[("1", str(i)) for i in range(1000)], ("2", "x"))
+    counted = ops.keys_counted(source, ["id"])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_first" in plan
+    assert sorted((r.id, r._key_rows) for r in counted.collect()) == [("1", 1000), ("2", 1)]
+    with pytest.raises(ValueError, match="taken"):
+        ops.keys_counted(counted, ["id"])
