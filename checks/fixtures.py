@@ -109,6 +109,19 @@ def workflow_documents(orders: DataFrame, flow_prefix: str = "flow_") -> DataFra
     return structs.select("path", F.to_json(F.struct("name", "properties")).alias("value"))
 
 
+def call_documents(orders: DataFrame) -> DataFrame:
+    """`(path, value)`: workflows of customers that call others, in chains, diamonds and circles."""
+    up = _activity("'up'", "'ExecutePipeline'", call="concat('customer_', c div 4)")
+    aside = "CASE WHEN c % 97 = 0 THEN concat('customer_', c + 1) WHEN c < 4 THEN concat('customer_', c * 4 + 1) END"
+    side = _activity("'side'", "'ExecutePipeline'", call=aside)
+    columns = orders.selectExpr("o_orderkey AS k", "o_custkey AS c")
+    return columns.selectExpr(
+        "concat('/calls/order_', k, '.json') AS path",
+        f"to_json(named_struct('name', concat('customer_', c), 'properties', "
+        f"named_struct('activities', array({up}, {side})))) AS value",
+    )
+
+
 def damaged_documents(orders: DataFrame) -> DataFrame:
     """The documents with a different fault for each of the first days of the month."""
     structs = workflow_structs(orders)

@@ -245,6 +245,43 @@ def _validated() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _seen_together() -> str:
+    """Rows of all tables before and after a sync: what readers of the group see."""
+    parts = []
+    for state, side in (("stopped", "o"), ("completed", "n")):
+        for name in _TABLES:
+            shown = _shown(name).replace(f"FROM {name}", f"FROM {side}")
+            parts.append(f"SELECT '{state}' AS state, * FROM (WITH {_both_states(name)} {shown})")
+    return " UNION ALL ".join(parts)
+
+
+_CALL_CLOSURE = """
+    WITH RECURSIVE customers AS (SELECT DISTINCT o_custkey AS c FROM orders),
+    calls AS (
+        SELECT 'customer_' || c AS caller, 'customer_' || (c // 4) AS callee FROM customers
+        UNION
+        SELECT 'customer_' || c, 'customer_' || (CASE WHEN c % 97 = 0 THEN c + 1 ELSE c * 4 + 1 END)
+        FROM customers WHERE c % 97 = 0 OR c < 4),
+    reach AS (
+        SELECT caller, callee, 1 AS depth FROM calls
+        UNION
+        SELECT r.caller, c.callee, r.depth + 1
+        FROM reach r JOIN calls c ON c.caller = r.callee WHERE r.depth < 40)
+    SELECT caller, callee, min(depth) AS depth FROM reach GROUP BY caller, callee
+    """
+
+_KEY_COLLISIONS = """
+    WITH named AS (
+        SELECT CASE WHEN o_orderstatus = 'F' THEN concat_ws('|', o_custkey, o_orderpriority)
+                    ELSE CAST(o_custkey AS VARCHAR) END AS name,
+               CASE WHEN o_orderstatus = 'F' THEN 'flow'
+                    ELSE concat_ws('|', o_orderpriority, 'flow') END AS type
+        FROM orders)
+    SELECT sha256(concat_ws('|', name, type)) AS key, count(*) AS n_rows,
+           count(DISTINCT (name, type)) AS n_natural, count(DISTINCT (name, type)) > 1 AS collision
+    FROM named GROUP BY key HAVING count(*) > 1
+    """
+
 _PER_DOCUMENT = """
     SELECT path, 'pipelines' AS metric, CAST(NULL AS VARCHAR) AS key, CAST(1 AS BIGINT) AS n
     FROM base
@@ -416,7 +453,11 @@ ORACLE: dict[str, str] = {
     "merge_replace": _states("SELECT * FROM new"),
     "sync_table": _states("SELECT * FROM new"),
     "sync_table_bucketed": _states("SELECT * FROM new"),
+    "bucketed_without_catalog": _states("SELECT * FROM new"),
     "sync_all_tables": _SYNC_ALL,
+    "synced_together": _seen_together(),
+    "call_closure": _CALL_CLOSURE,
+    "key_collisions": _KEY_COLLISIONS,
     "sync_total_summary": f"""
         SELECT CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(updated) AS BIGINT) AS updated,
                CAST(sum(deleted) AS BIGINT) AS deleted,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import fixtures
 from checks.fixtures import LATER_TS, RUN_TS, table
 from flowatlas import functions as fx, operators as ops, plans, sources
-from flowatlas.schemas import PIPELINES, TABLE_SCHEMAS, conform
+from flowatlas.schemas import PIPELINES, TABLE_KEYS, TABLE_SCHEMAS, conform
 from flowatlas.session import shared_folder
 from flowatlas.streaming import ingest_arrivals, rejected_arrivals, remove_vanished
 
@@ -39,6 +39,12 @@ def _changes(spark: SparkSession, sf: str, **options) -> DataFrame:
     return ops.classify(old, new, KEY, **options)
 
 
+def _shown(rows: DataFrame, name: str) -> DataFrame:
+    """The table's name and all columns of each row as one string."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(rows.columns)]
+    return rows.select(F.lit(name).alias("table"), F.concat_ws("|", *shown).alias("columns"))
+
+
 def _synced(spark: SparkSession, sf: str, name: str, **options) -> str:
     """A table with the old state as version 0 and a sync with the new one as version 1."""
     old, new = _states(spark, sf)
@@ -131,6 +137,15 @@ def extract_dependencies_staged(spark: SparkSession, sf: str) -> DataFrame:
     return _untimed(tables["dependencies_df"])
 
 
+def call_closure(spark: SparkSession, sf: str) -> DataFrame:
+    """Every workflow that one calls, directly or through others, and the fewest calls to it."""
+    documents = fixtures.call_documents(table(spark, sf, "orders"))
+    folder = shared_folder(spark, "calls")
+    tables, _ = plans.extract_all(spark, documents, staging=f"{folder}/staging")
+    calls = ops.direct_calls(tables["pipelines_df"], tables["activities_df"])
+    return ops.call_closure(spark, calls, folder)
+
+
 def activity_targets(spark: SparkSession, sf: str) -> DataFrame:
     targets = ["ActivityTargetId", "ActivityTargetName", "ActivityTargetType"]
     return ops.activities(_parsed(spark, sf)).select("ActivityId", "ActivityType", *targets)
@@ -208,6 +223,18 @@ def single_document_counts(spark: SparkSession, sf: str) -> DataFrame:
 # --- checks on keys ----------------------------------------------------------------
 
 
+def key_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys made from names with the separator in them: true duplicates and collisions."""
+    joined = F.col("o_orderstatus") == "F"
+    customer, priority = F.col("o_custkey").cast("string"), F.col("o_orderpriority")
+    named = table(spark, sf, "orders").select(
+        F.when(joined, F.concat_ws("|", customer, priority)).otherwise(customer).alias("name"),
+        F.when(joined, F.lit("flow")).otherwise(F.concat_ws("|", priority, F.lit("flow"))).alias("type"),
+    )
+    keyed = named.withColumn("key", fx.surrogate_key("name", "type"))
+    return ops.key_collisions(keyed, ["key"], ["name", "type"])
+
+
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return ops.duplicate_keys(table(spark, sf, "lineitem"), LINE_KEY)
 
@@ -352,6 +379,15 @@ def sync_table_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_snapshot(spark, path)
 
 
+def bucketed_without_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """A bucketed table that the catalog has forgotten is declared again from its files."""
+    path = shared_folder(spark, "forgotten")
+    _, new = _states(spark, sf)
+    plans.sync_table(new, path, KEY, run_ts=RUN_TS, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sources.forget_version(spark, path, 0)
+    return sources.read_snapshot(spark, path)
+
+
 def _sync_workflows(spark: SparkSession, sf: str, name: str) -> dict[str, plans.SyncResult]:
     """Sync the tables of the old documents, then of the new; results of the second."""
     orders = table(spark, sf, "orders")
@@ -379,6 +415,29 @@ def synced_activities(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("CreatedDate", F.date_format("CreatedDate", "yyyy-MM-dd"))
 
 
+def synced_together(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows that readers see when a sync stopped after one table, and when it was completed."""
+    orders = table(spark, sf, "orders")
+    root = shared_folder(spark, "together")
+    seen = []
+    states = [(fixtures.old_workflows(orders), RUN_TS), (fixtures.new_workflows(orders), LATER_TS)]
+    for number, (documents, run_ts) in enumerate(states):
+        tables, _ = plans.extract_all(spark, documents, run_ts=run_ts, staging=f"{root}/staging/run={number}")
+        if number:
+            name = "activities_df"
+            path = f"{root}/{plans.dataset_name(name)}"
+            plans.sync_table(tables[name], path, TABLE_KEYS[name], on_duplicate="dedupe", run_ts=run_ts)
+            seen.append(("stopped", sources.read_group(spark, root)))
+        plans.sync_all(tables, root, run_ts=run_ts)
+    seen.append(("completed", sources.read_group(spark, root)))
+    rows = [
+        _shown(_untimed(df), name).select(F.lit(state).alias("state"), "*")
+        for state, tables in seen
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 # --- stored tables -----------------------------------------------------------------
 
 
@@ -443,8 +502,7 @@ def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     found = []
     for name, schema in TABLE_SCHEMAS.items():
         rows = _untimed(spark.read.schema(schema).json(f"{folder}/{name}"))
-        shown = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(rows.columns)]
-        found.append(rows.select(F.lit(name).alias("table"), F.concat_ws("|", *shown).alias("columns")))
+        found.append(_shown(rows, name))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -601,6 +659,7 @@ QUERIES: dict[str, Query] = {
         extract_activities,
         extract_dependencies,
         extract_dependencies_staged,
+        call_closure,
         activity_targets,
         activity_lookup_last_wins,
         conformed_schemas,
@@ -613,6 +672,7 @@ QUERIES: dict[str, Query] = {
         single_document_run,
         single_document_counts,
         duplicate_keys,
+        key_collisions,
         dedupe_by_key,
         validate_unique,
         validate_all_tables,
@@ -634,9 +694,11 @@ QUERIES: dict[str, Query] = {
         merge_replace,
         sync_table,
         sync_table_bucketed,
+        bucketed_without_catalog,
         sync_all_tables,
         sync_total_summary,
         synced_activities,
+        synced_together,
         create_if_not_exists,
         snapshot_as_of,
         snapshot_history,
