@@ -2,8 +2,10 @@
 
 Statistics are worked out in each row. The list is learned by sequential covering from rows
 with a label of 0 (bad) or 1 (good): a rule for bad rows grows by the threshold condition of
-the largest information gain until it covers hardly any good row; its last conditions are
-pruned while that helps on rows set apart; covered rows leave, and the next rule is grown.
+the largest information gain until none gains; its last conditions are pruned while that helps
+on rows set apart; covered rows leave, and the next rule is grown. Ties between conditions go
+to the first figure and the smallest threshold. Neither rules nor conditions are limited in
+number, see `learn`. Texts of any length are taken whole.
 Every step takes counts of labels by statistic and bin over all labelled rows with one
 aggregate; only those counts, a few hundred numbers, reach the driver. Thresholds lie at
 quantiles. The list becomes one `when(...).when(...)` expression: the first rule that holds
@@ -16,6 +18,7 @@ columns pass through.
 """
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -163,10 +166,9 @@ def _bin(value: Column, cuts: list[float]) -> Column:
     return total(F.transform(F.array(*map(F.lit, cuts)), lambda cut: F.when(value > cut, 1).otherwise(0)))
 
 
-def _histogram(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[tuple[int, int], tuple[int, int]]:
+def _histogram(rows: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:
     """(bad, good) rows by figure and bin; bin k holds values over k of the figure's cuts."""
-    bins = F.array(*[_bin(F.col(f), cuts[f]) for f in FIGURES])
-    each = rows.select("bad", F.posexplode(bins).alias("figure", "bin"))
+    each = rows.select("bad", F.posexplode("bins").alias("figure", "bin"))
     counted = each.groupBy("figure", "bin").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
     return {(r["figure"], r["bin"]): (r["bad"], r["good"]) for r in counted.collect()}
 
@@ -184,67 +186,91 @@ def _offers(histogram: dict, cuts: dict[str, list[float]]):
             yield Condition(figure, True, cut), (whole[0] - below[0], whole[1] - below[1])
 
 
-def learn(cases: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: int = 3,
-          least_share: float = 0.01, precision: float = 0.9) -> list[Rule]:
+def learn(cases: DataFrame, bins: int = 32, least_share: float = 0.01, precision: float = 0.9,
+          deviations: float = 3.0) -> list[Rule]:
     """An ordered list of rules for bad rows.
 
-    `cases` has the columns of `FIGURES`, `bad` (0 or 1) and `set_apart` (rows for pruning).
-    A rule must cover `least_share` of the bad rows and reach `precision` on the rows set apart.
+    `cases` has the columns of `FIGURES`, `bad` (0 or 1) and `set_apart` (rows for pruning). A
+    rule grows while a condition gains and `least_share` of the bad rows stay covered. Among
+    the rows set apart its leading conditions must do better than chance (their lower bound,
+    `deviations` standard deviations down, is above the share of bad rows there), and the best
+    of them must reach `precision`. If none does, the widest is left out of the list: the rows
+    it covers no longer take part in growing, so that a noisy region hides no later rule outside
+    it. Rules and conditions are not limited in number. The end comes when nothing grows, or
+    when what grows is no better than chance.
     """
     cases = cut_lineage(cases)
-    growing = cases.filter(~F.col("set_apart"))
+    known = cases.filter(~F.col("set_apart"))
     shares = [k / bins for k in range(1, bins)]
-    quantiles = growing.agg(*[F.percentile_approx(f, shares, 10_000).alias(f) for f in FIGURES]).first()
-    bad = growing.filter("bad = 1").agg(*[F.percentile_approx(f, shares, 10_000).alias(f) for f in FIGURES]).first()
+    quantiles = known.agg(*[F.percentile_approx(f, shares, 10_000).alias(f) for f in FIGURES]).first()
+    bad = known.filter("bad = 1").agg(*[F.percentile_approx(f, shares, 10_000).alias(f) for f in FIGURES]).first()
     cuts = {f: sorted(set(quantiles[f] or []) | set(bad[f] or [])) for f in FIGURES}
-    all_bad = growing.filter("bad = 1").count()
+    all_bad = known.filter("bad = 1").count()
     rules: list[Rule] = []
-    left = cases
-    while len(rules) < max_rules and all_bad:
-        conditions: list[Condition] = []
-        covered = left.filter(~F.col("set_apart"))
-        while len(conditions) < max_conditions:
-            histogram = _histogram(covered, cuts)
-            whole = tuple(sum(v[y] for (f, _), v in histogram.items() if f == 0) for y in (0, 1))
-            if not whole[0] or not whole[1]:
-                break
-            best, after = max(_offers(histogram, cuts), key=lambda o: _gain(whole, o[1]), default=(None, (0, 0)))
-            if best is None or after[0] < least_share * all_bad or _gain(whole, after) <= 0:
-                break
-            conditions.append(best)
-            covered = covered.filter(_on_columns(best))
-        if not conditions:
+    if not all_bad:
+        return rules
+    binned = F.array(*[_bin(F.col(f), cuts[f]) for f in FIGURES]).alias("bins")
+    cases = cut_lineage(cases.select("bad", "set_apart", binned))
+    growing, apart = cases.filter(~F.col("set_apart")), cases.filter("set_apart")
+    while conditions := _grown(growing, cuts, least_share * all_bad):
+        offers, whole = _prefixes(apart, conditions, cuts)
+        offers = [rule for rule in offers if _beyond_chance(rule, whole, deviations)]
+        if not offers:
             break
-        rule = _pruned(left.filter("set_apart"), conditions)
-        if rule is None or rule.bad < precision * (rule.bad + rule.good):
-            break
-        rules.append(rule)
-        left = left.filter(~_rule_on_columns(rule))
+        rule = max(reversed(offers), key=lambda r: (r.bad - r.good) / (r.bad + r.good))
+        if rule.bad >= precision * (rule.bad + rule.good):
+            rules.append(rule)
+            apart = apart.filter(~_on_bins(rule.conditions, cuts))
+        else:
+            rule = offers[0]
+        growing = growing.filter(~_on_bins(rule.conditions, cuts))
     return rules
 
 
-def _on_columns(condition: Condition) -> Column:
-    value = F.col(condition.figure)
-    return value > condition.threshold if condition.above else value <= condition.threshold
-
-
-def _rule_on_columns(rule: Rule) -> Column:
+def _grown(rows: DataFrame, cuts: dict[str, list[float]], least: float) -> tuple[Condition, ...]:
+    """Conditions in the order of growth; none if no condition gains."""
+    conditions: tuple[Condition, ...] = ()
+    while True:
+        histogram = _histogram(rows)
+        whole = tuple(sum(v[y] for (f, _), v in histogram.items() if f == 0) for y in (0, 1))
+        if not whole[0] or not whole[1]:
+            return conditions
+        offers = (o for o in _offers(histogram, cuts) if o[1][0] >= least)
+        best, after = max(offers, key=lambda o: _gain(whole, o[1]), default=(None, (0, 0)))
+        if best is None or _gain(whole, after) <= 0:
+            return conditions
+        conditions += (best,)
+        rows = rows.filter(_on_bins((best,), cuts))
+
+
+def _on_bins(conditions: Sequence[Condition], cuts: dict[str, list[float]]) -> Column:
+    """Whether all conditions hold, from the bins: a value is over a cut if it is over more cuts than stand before it."""
     out = F.lit(True)
-    for condition in rule.conditions:
-        out = out & _on_columns(condition)
+    for c in conditions:
+        above = F.col("bins")[FIGURES.index(c.figure)] > cuts[c.figure].index(c.threshold)
+        out = out & (above if c.above else ~above)
     return out
 
 
-def _pruned(apart: DataFrame, conditions: list[Condition]) -> Rule | None:
-    """The leading conditions that do best on the rows set apart."""
-    sums = []
+def _prefixes(
+    apart: DataFrame, conditions: Sequence[Condition], cuts: dict[str, list[float]]
+) -> tuple[list[Rule], tuple[int, int]]:
+    """The rules of leading conditions that hold for rows set apart, widest first, and (bad, good) of all those rows."""
+    sums = [F.sum("bad").alias("b0"), F.sum(1 - F.col("bad")).alias("g0")]
     for k in range(1, len(conditions) + 1):
-        holds = _rule_on_columns(Rule(tuple(conditions[:k]), 0, 0))
+        holds = _on_bins(conditions[:k], cuts)
         sums += [F.sum(F.when(holds, F.col("bad"))).alias(f"b{k}"), F.sum(F.when(holds, 1 - F.col("bad"))).alias(f"g{k}")]
     row = apart.agg(*sums).first()
-    offers = [Rule(tuple(conditions[:k]), row[f"b{k}"] or 0, row[f"g{k}"] or 0) for k in range(len(conditions), 0, -1)]
-    offers = [r for r in offers if r.bad + r.good]
-    return max(offers, key=lambda r: (r.bad - r.good) / (r.bad + r.good), default=None)
+    offers = [Rule(tuple(conditions[:k]), row[f"b{k}"] or 0, row[f"g{k}"] or 0) for k in range(1, len(conditions) + 1)]
+    return [r for r in offers if r.bad + r.good], (row["b0"] or 0, row["g0"] or 0)
+
+
+def _beyond_chance(rule: Rule, whole: tuple[int, int], deviations: float) -> bool:
+    """Whether Wilson's lower bound of the rule's share of bad rows is above that of all rows."""
+    n, z = rule.bad + rule.good, deviations
+    share = rule.bad / n
+    spread = z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (share + z * z / (2 * n) - spread) / (1 + z * z / n) > whole[0] / (whole[0] + whole[1])
 
 
 def learn_from_labels(counted: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id",

@@ -355,3 +355,41 @@ def test_rules_are_found_and_ordered(spark):
     wrong = verdict.filter((F.col("bad") == 1) == F.col("kept")).count()
     assert wrong < 150 and verdict.filter("kept = (why IS NOT NULL)").count() == 0
     assert rules.learn(cases.filter("bad = 0")) == []
+
+
+def cases_of(spark, n, verdict):
+    rng = random.Random(5)
+    rows = []
+    for i in range(n):
+        values = [rng.random() for _ in rules.FIGURES]
+        rows.append((*values, int(verdict(values, rng)), i % 3 == 0))
+    names = ", ".join(f"{f} double" for f in rules.FIGURES)
+    return spark.createDataFrame(rows, f"{names}, bad int, set_apart boolean")
+
+
+def kept_of(spark, found, **values):
+    figures = F.struct(*[F.lit(values.get(f, 0.5)).alias(f) for f in rules.FIGURES])
+    return spark.range(1).select(rules.keep_expression(found, figures).alias("kept")).first()["kept"]
+
+
+def test_as_many_rules_as_there_are_patterns(spark):
+    found = rules.learn(cases_of(spark, 6000, lambda v, _: max(v) > 0.95))
+    assert len(found) >= len(rules.FIGURES) == 9
+    assert kept_of(spark, found)
+    assert not any(kept_of(spark, found, **{f: 0.99}) for f in rules.FIGURES)
+
+
+def test_a_noisy_region_hides_no_later_rule(spark):
+    first, second = rules.FIGURES[:2]
+
+    def verdict(v, rng):
+        return v[1] > 0.95 or rng.random() < (0.75 if v[0] > 0.7 else 0.02)
+
+    found = rules.learn(cases_of(spark, 6000, verdict))
+    assert not kept_of(spark, found, **{first: 0.1, second: 0.99})
+    assert kept_of(spark, found, **{first: 0.9}) and kept_of(spark, found)
+
+
+def test_labels_without_a_pattern_give_no_rules(spark):
+    found = rules.learn(cases_of(spark, 1500, lambda v, rng: rng.random() < 0.5))
+    assert found == []
