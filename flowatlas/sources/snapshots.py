@@ -25,7 +25,7 @@ HISTORY = (
     "operation STRING, run_ts TIMESTAMP, stream_id STRING, batch_id BIGINT, inserted BIGINT, "
     "updated BIGINT, deleted BIGINT, unchanged BIGINT, bucket_count INT, "
     "bucket_keys ARRAY<STRING>, day_column STRING, slice_count INT, slices MAP<INT, BIGINT>, "
-    "slice_schema STRING, version BIGINT"
+    "slice_bytes MAP<INT, BIGINT>, slice_schema STRING, version BIGINT"
 )
 COUNTS = ["inserted", "updated", "deleted", "unchanged"]
 # Private columns of tables in slices: see plans.sliced.
@@ -42,10 +42,11 @@ class Buckets:
 
 @dataclass(frozen=True)
 class Slices:
-    """How many there are, which version holds each, and the schema of their rows as JSON."""
+    """How many there are, which version holds each, its bytes, and the schema of the rows as JSON."""
 
     count: int
     held: dict[int, int]
+    sizes: dict[int, int]
     schema: str
 
 
@@ -73,8 +74,24 @@ def latest_version(spark: SparkSession, table: str) -> int | None:
 
 
 def latest_entry(spark: SparkSession, table: str) -> Row | None:
-    """History row of the newest finished version, or None."""
-    return history(spark, table).orderBy(F.desc("version")).first()
+    """History row of the newest finished version, or None; no other row is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/history")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    numbers = [int(name.removeprefix("version=")) for name in names if name.startswith("version=")]
+    # an unfinished version has a folder without a row
+    return next(filter(None, (version_entry(spark, table, n) for n in sorted(numbers, reverse=True))), None)
+
+
+def version_entry(spark: SparkSession, table: str, version: int) -> Row | None:
+    """History row of a finished version, or None."""
+    folder = f"{table}/history"
+    if not exists(spark, f"{folder}/version={version}"):
+        return None
+    rows = spark.read.schema(HISTORY).option("basePath", folder).parquet(f"{folder}/version={version}")
+    return rows.first()
 
 
 def buckets_of(entry: Row | None) -> Buckets | None:
@@ -101,10 +118,7 @@ def read_snapshot(
     spark: SparkSession, table: str, version: int | None = None, keep_day: bool = False
 ) -> DataFrame:
     """Rows of a version, by default of the newest."""
-    versions = history(spark, table)
-    if version is not None:
-        versions = versions.filter(F.col("version") == version)
-    entry = versions.orderBy(F.desc("version")).first()
+    entry = latest_entry(spark, table) if version is None else version_entry(spark, table, version)
     if entry is None:
         raise ValueError(f"no finished version {'' if version is None else version} in {table}")
     return read_entry(spark, table, entry, keep_day)
@@ -137,7 +151,8 @@ def read_slices(
 ) -> DataFrame:
     """Rows of some or all slices, each from the version that holds it, with their workflow."""
     schema = StructType.fromJson(json.loads(entry["slice_schema"]))
-    chosen = {k: v for k, v in entry["slices"].items() if only is None or k in set(only)}
+    wanted = None if only is None else set(only)
+    chosen = {k: v for k, v in entry["slices"].items() if wanted is None or k in wanted}
     if not chosen:
         return spark.createDataFrame([], schema)
     paths = [f"{data_path(table, v)}/{SLICE}={k}" for k, v in sorted(chosen.items())]
@@ -148,12 +163,43 @@ def write_slices(df: DataFrame, table: str, version: int) -> None:
     df.write.mode("overwrite").partitionBy(SLICE).parquet(data_path(table, version))
 
 
-def written_slices(spark: SparkSession, table: str, version: int) -> list[int]:
-    """The slices that a version wrote rows of."""
+def written_slices(spark: SparkSession, table: str, version: int) -> dict[int, int]:
+    """The slices that a version wrote rows of, with the bytes of their files."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(data_path(table, version))
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [status.getPath().getName() for status in found]
-    return [int(name.removeprefix(f"{SLICE}=")) for name in names if name.startswith(f"{SLICE}=")]
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    sizes: dict[int, int] = {}
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().getParent().getName()
+        if name.startswith(f"{SLICE}="):
+            k = int(name.removeprefix(f"{SLICE}="))
+            sizes[k] = sizes.get(k, 0) + status.getLen()
+    return sizes
+
+
+def data_bytes(spark: SparkSession, table: str, version: int) -> int:
+    """Bytes of the files of a version."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(data_path(table, version))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def read_apart(spark: SparkSession, table: str, older: int, newer: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of two versions, without the slices that both have from the same version.
+
+    What differs between the versions lies in these rows; a table without slices is read whole.
+    """
+    entries = [version_entry(spark, table, v) for v in (older, newer)]
+    for version, entry in zip((older, newer), entries):
+        if entry is None:
+            raise ValueError(f"no finished version {version} in {table}")
+    if any(entry["slice_count"] is None for entry in entries):
+        return tuple(read_entry(spark, table, entry) for entry in entries)
+    one, other = (entry["slices"] for entry in entries)
+    shared = {k for k, v in one.items() if other.get(k) == v}
+    return tuple(
+        read_slices(spark, table, entry, [k for k in entry["slices"] if k not in shared]).drop(WORKFLOW)
+        for entry in entries
+    )
 
 
 def columns_ddl(schema: StructType) -> str:
@@ -231,6 +277,7 @@ def commit_version(
         "day_column": F.lit(day_column).cast("string"),
         "slice_count": F.lit(slices.count if slices else None).cast("int"),
         "slices": _int_map(slices.held if slices else None),
+        "slice_bytes": _int_map(slices.sizes if slices else None),
         "slice_schema": F.lit(slices.schema if slices else None).cast("string"),
     }
     entry = spark.range(0, 1, 1, 1).select(*[c.alias(name) for name, c in values.items()])
