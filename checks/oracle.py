@@ -204,6 +204,25 @@ def _arrived(name: str) -> str:
         UNION ALL SELECT * FROM (WITH {late} {_unique(name)})"""
 
 
+def _columns_changed(name: str) -> str:
+    """Keys of rows that differ after the second arrival, with the columns in which they do."""
+    keys, values = _TABLES[name]
+    same_key = " AND ".join(f"o.{k} = n.{k}" for k in keys)
+    differs = f"({' OR '.join(f'o.{v} IS DISTINCT FROM n.{v}' for v in values)})"
+    named = ", ".join(f"CASE WHEN o.{v} IS DISTINCT FROM n.{v} THEN '{v}' END" for v in values)
+    shown = ", ".join(f"coalesce(n.{k}, o.{k}) AS {k}" for k in keys)
+    return f"""
+        WITH o AS (SELECT * FROM (WITH {_extract(_OLD, "dataflow_", name=_BY_ORDER)} {_unique(name)})),
+        n AS ({_arrived(name)})
+        SELECT {shown},
+            CASE WHEN o.{keys[0]} IS NULL THEN 'insert' WHEN n.{keys[0]} IS NULL THEN 'delete' ELSE 'update' END
+                AS change_action,
+            CASE WHEN o.{keys[0]} IS NOT NULL AND n.{keys[0]} IS NOT NULL THEN concat_ws(',', {named}) END
+                AS changed_columns
+        FROM o FULL JOIN n ON {same_key}
+        WHERE o.{keys[0]} IS NULL OR n.{keys[0]} IS NULL OR {differs}"""
+
+
 def _shown(name: str) -> str:
     """All columns of a table as one string."""
     columns = sorted([*_TABLES[name][0], *_TABLES[name][1]])
@@ -503,6 +522,7 @@ ORACLE: dict[str, str] = {
     "incremental_late_files": _arrived("activities"),
     "incremental_removed_files": f"""
         WITH {_extract(_OLD, "dataflow_", name=_BY_ORDER)} {_unique("activities")}""",
+    "version_diff_columns": _columns_changed("activities"),
     "surrogate_key": """
         SELECT o_orderkey, sha256(concat_ws('|',
             CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END,

@@ -594,6 +594,20 @@ def incremental_late_files(spark: SparkSession, sf: str) -> DataFrame:
     return _untimed(sources.read_snapshot(spark, f"{root}/tables/{plans.dataset_name('activities_df')}"))
 
 
+def version_diff_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """What the second arrival changed in the stored activities, and in which columns."""
+    root = shared_folder(spark, "columns")
+    for number, documents in enumerate(fixtures.arrivals(table(spark, sf, "orders"))):
+        documents.write.json(f"{root}/landing/arrival={number}")
+        ingest_arrivals(
+            spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint", per_line=True, run_ts=RUN_TS, slices=8
+        )
+    path = f"{root}/tables/{plans.dataset_name('activities_df')}"
+    before, after = sources.read_apart(spark, path, 0, 1)
+    changes = ops.column_changes(before, after, TABLE_KEYS["activities_df"])
+    return changes.withColumn("changed_columns", F.array_join("changed_columns", ","))
+
+
 def incremental_removed_files(spark: SparkSession, sf: str) -> DataFrame:
     """Both states arrive, then the files of the newer go: the older documents count again."""
     root = shared_folder(spark, "removed")
@@ -716,6 +730,7 @@ QUERIES: dict[str, Query] = {
         incremental_quarantine,
         incremental_late_files,
         incremental_removed_files,
+        version_diff_columns,
         surrogate_key,
         uuid_ids,
         path_last_part,

@@ -6,6 +6,7 @@ from flowatlas.operators.changes import (
     change_counts,
     changed,
     classify,
+    column_changes,
     count_deleted,
     count_inserted,
     keep_present,
@@ -42,6 +43,7 @@ __all__ = [
     "changed",
     "check_unique",
     "classify",
+    "column_changes",
     "count_deleted",
     "count_inserted",
     "counts",

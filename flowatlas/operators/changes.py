@@ -228,6 +228,32 @@ def rows_changed(left: DataFrame, right: DataFrame) -> DataFrame:
     return only_left.filter("_left").drop("_left")
 
 
+def column_changes(
+    before: DataFrame, after: DataFrame, keys: Sequence[str], ignore_columns: Sequence[str] = STAMPED
+) -> DataFrame:
+    """Keys of the rows in which two states differ, with `change_action` and `changed_columns`.
+
+    The columns that differ are named in the order of the later state, for updates only. Keys
+    must be unique in each state; rows with a NULL key are left out. NULLs count as equal, and
+    a column that one state lacks is NULL there. One shuffle for each side.
+    """
+    keys = require_keys(keys)
+    require_same_types(before, after)
+    before, after = with_columns_of(before, after), with_columns_of(after, before)
+    values = [c for c in after.columns if c not in keys]
+    sides = [
+        with_keys(state, keys).select(*keys, F.struct(F.lit(True).alias("_there"), *values).alias(name))
+        for name, state in (("_before", before), ("_after", after))
+    ]
+    both = sides[0].join(sides[1], keys, "full_outer")
+    old, new = F.col("_before"), F.col("_after")
+    named = [F.when(differs(old[c], new[c], True), F.lit(c)) for c in values if c not in ignore_columns]
+    names = F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+    action = F.when(old.isNull(), F.lit(INSERT)).when(new.isNull(), F.lit(DELETE)).otherwise(F.lit(UPDATE))
+    found = both.select(*keys, action.alias(ACTION), F.when(old.isNotNull() & new.isNotNull(), names).alias("changed_columns"))
+    return found.filter(F.col("changed_columns").isNull() | (F.size("changed_columns") > 0))
+
+
 def append_rows(target: DataFrame, source: DataFrame) -> DataFrame:
     """All rows of both; a column that one side lacks is NULL there."""
     require_same_types(target, source)

@@ -19,6 +19,7 @@ from flowatlas.sources.snapshots import (
     forget_version,
     history,
     latest_version,
+    read_apart,
     read_days,
     read_snapshot,
     write_snapshot,
@@ -38,6 +39,7 @@ __all__ = [
     "latest_version",
     "list_files",
     "parse_documents",
+    "read_apart",
     "read_days",
     "read_documents",
     "read_group",

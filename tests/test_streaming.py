@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from flowatlas import plans, sources
+from flowatlas import operators as ops, plans, sources
 from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
 from flowatlas.sources import snapshots
@@ -197,6 +197,57 @@ def test_stored_rows_move_once_and_meet_no_join(spark, folder):
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
 
 
+def sync_slices(spark, path, source, **options):
+    count = sliced.slice_count(spark, path) or 1
+    workflows = source.select(snapshots.WORKFLOW).distinct()
+    touched = sliced.touched_slices(workflows, count)
+    sliced.sync_workflows(source, path, ["id"], workflows, touched, count, lambda rows: rows, **options)
+    return set(touched)
+
+
+def test_slices_grow_by_splits_and_leave_the_others(spark, folder):
+    path, workflow_id = f"{folder}/grown", (F.col("id") % 40).cast("string")
+    rows = spark.range(400).select("id", F.lit(1).alias("value"), workflow_id.alias(snapshots.WORKFLOW))
+    sync_slices(spark, path, rows)
+    for count in range(2, 9):
+        before = snapshots.latest_entry(spark, path)
+        one = rows.filter(F.col(snapshots.WORKFLOW) == "7").withColumn("value", F.lit(count))
+        touched = sync_slices(spark, path, one, slice_bytes=1)
+        now = snapshots.latest_entry(spark, path)
+        written = {k for k, version in now["slices"].items() if version == now["version"]}
+        assert now["slice_count"] == count and len(touched) == 1
+        assert written <= touched | {count - 1, sliced.parent_slice(count - 1)} | {sliced.held_in(k, count) for k in touched}
+        assert all(now["slices"].get(k) == v for k, v in before["slices"].items() if k not in written | touched | {sliced.parent_slice(count - 1)})
+        assert now["slice_bytes"].keys() == now["slices"].keys()
+    assert written != set(now["slices"])
+    for k in now["slices"]:
+        stored = snapshots.read_slices(spark, path, now, [k])
+        assert stored.filter(sliced.slice_of(F.col(snapshots.WORKFLOW), 8) != k).isEmpty()
+    values = sources.read_snapshot(spark, path).groupBy("value").count().collect()
+    assert {r["value"]: r["count"] for r in values} == {1: 390, 8: 10}
+    older, newer = sources.read_apart(spark, path, 6, 7)
+    assert 10 <= newer.count() < 400
+    changes = ops.column_changes(older, newer, ["id"]).collect()
+    assert len(changes) == 10 and all(r.change_action == "update" and r.changed_columns == ["value"] for r in changes)
+
+
+def test_no_task_holds_a_whole_slice_or_workflow(spark):
+    stored = spark.range(1000).select("id", F.lit("hot").alias(snapshots.WORKFLOW), F.lit(1).alias("value"))
+    changes = sliced.compared(stored, stored.limit(0), stored, ["id"], 1, parts=[5], tasks=16)
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "Join" not in plan
+    rows = changes.groupBy(F.spark_partition_id().alias("task"), "change_action").count().collect()
+    assert len(rows) > 1 and max(r["count"] for r in rows) < 1000 and {r.change_action for r in rows} == {"delete"}
+    assert sum(r["count"] for r in rows) == 1000
+
+
+def test_column_changes(spark):
+    before = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1), (None, "d", 1)], "k INT, x STRING, y INT")
+    after = spark.createDataFrame([(1, "a", 5, None), (2, "b", 1, None), (4, "c", 1, True)], "k INT, x STRING, y INT, z BOOLEAN")
+    found = {r.k: (r.change_action, r.changed_columns) for r in ops.column_changes(before, after, ["k"]).collect()}
+    assert found == {1: ("update", ["y"]), 3: ("delete", None), 4: ("insert", None)}
+
+
 def test_tables_without_slices_are_taken_over(spark, folder):
     docs = [("/d", json.dumps(workflow(n, ("a", []), ("b", ["a"])))) for n in ("p", "q")]
     documents = spark.createDataFrame(docs, "path STRING, value STRING")
