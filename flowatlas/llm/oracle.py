@@ -17,10 +17,18 @@ def _words(column: str) -> str:
 
 def secrets_sql() -> str:
     kinds = ", ".join(f"({k}, {_quoted(p)})" for k, p in enumerate([*secret_scan.BASE.values(), secret_scan.CANDIDATE]))
+    # the operator's lookbehind only spares it searches: a leftmost match begins where a part does
+    placed = _quoted(secret_scan.PLACED.removeprefix("(?<![A-Za-z0-9+])"))
+    hex_run = _quoted(secret_scan.HEX_RUN)
     allowed = " AND ".join(
-        f"NOT regexp_full_match(found, {_quoted(p)})" for p in secret_scan.ALLOWED if "\\1" not in p
+        ["replace(found, left(found, 1), '') <> ''"]
+        + [f"NOT regexp_full_match(found, {_quoted(p)})" for p in secret_scan.ALLOWED[:-1] if "\\1" not in p]
     )
-    classes = ", ".join(f"({_quoted(c.whole)}, {c.most})" for c in secret_scan.CLASSES)
+    of_hex, of_64 = (c.most for c in secret_scan.CLASSES)
+
+    def before(pieces: str, n: str) -> str:
+        return f"length(array_to_string({pieces}[1:{n}], ''))"
+
     terms = ", ".join(map(str, secret_scan.TERMS[1:]))
     size = secret_scan.WINDOW
     names = ", ".join(_quoted(k) for k in secret_scan.KINDS)
@@ -41,14 +49,27 @@ spans AS (SELECT rid, kind, found, finish - length(found) AS start, finish FROM
 base AS (
   SELECT rid, kind, start, finish FROM spans WHERE kind < 3 AND (kind > 0
     OR length(regexp_replace(found, {_quoted(secret_scan.ASSIGN_HEAD)}, '')) >= 6)),
-candidate AS (
-  SELECT rid, found, start FROM spans WHERE kind = 3
-    AND replace(found, left(found, 1), '') <> '' AND {allowed}),
-classes(whole, most) AS (VALUES {classes}),
+uncut AS (SELECT rid, found, start FROM spans WHERE kind = 3 AND {allowed}),
+split AS (
+  SELECT rid, start, string_split_regex(found, {placed}) AS pieces, regexp_extract_all(found, {placed}) AS cuts
+  FROM uncut),
+beside AS (
+  SELECT rid, pieces[i] AS found,
+    CAST(start + {before("pieces", "i - 1")} + {before("cuts", "i - 1")} AS BIGINT) AS start
+  FROM (SELECT *, unnest(generate_series(1, len(pieces))) AS i FROM split)),
+candidate AS (SELECT * FROM beside WHERE length(found) >= {size} AND {allowed}),
+hex_split AS (
+  SELECT rid, start, string_split_regex(found, {hex_run}) AS gaps, regexp_extract_all(found, {hex_run}) AS runs
+  FROM candidate),
+hex_run AS (
+  SELECT rid, runs[i] AS found, CAST(start + {before("gaps", "i")} + {before("runs", "i - 1")} AS BIGINT) AS start
+  FROM (SELECT *, unnest(generate_series(1, len(runs))) AS i FROM hex_split)),
+scanned AS (
+  SELECT rid, found, start, 'hex' AS whole, {of_hex} AS most FROM hex_run WHERE {allowed}
+  UNION ALL SELECT rid, found, start, 'base 64', {of_64} FROM candidate),
 windows AS (
   SELECT rid, start, whole, most, i, substr(found, CAST(i AS BIGINT), {size}) AS part
-  FROM (SELECT rid, start, found, whole, most, unnest(generate_series(1, length(found) - {size - 1})) AS i
-    FROM candidate, classes WHERE regexp_full_match(found, whole))),
+  FROM (SELECT *, unnest(generate_series(1, length(found) - {size - 1})) AS i FROM scanned)),
 counted AS (
   SELECT rid, start, whole, most, i, c, count(*) AS n
   FROM (SELECT rid, start, whole, most, i, unnest(string_split(part, '')) AS c FROM windows)

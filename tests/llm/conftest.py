@@ -81,3 +81,9 @@ def edge_tables(tmp_path_factory, edge_rows):
 @pytest.fixture(scope="session")
 def empty_tables(tmp_path_factory):
     return write_all(tmp_path_factory.mktemp("empty"), documents([], []), [], [], [])
+
+
+@pytest.fixture
+def write_documents():
+    """Writes tables with documents of some texts, numbered from 0, and nothing else."""
+    return lambda folder, texts: write_all(folder, documents(list(range(len(texts))), texts), [], [], [])

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 import re
 import zlib
 from collections import Counter
@@ -229,3 +230,23 @@ def test_pipeline(spark, edge_tables, edge_rows):
             assert Counter(i for i, _ in before) == Counter(r["doc_id"] for r in after)
             assert not any(brute_pii(r["text"]) for r in after)
             assert all(r["n_chars"] == len(r["text"]) for r in after)
+
+
+def test_sql_of_joined_runs(spark, tmp_path, write_documents):
+    """Hex runs inside longer runs, and runs of which a part holds a placeholder."""
+    digits = hashlib.sha256(b"a key").hexdigest().upper()[:40]
+    texts = [
+        "/sample/Zk8vQ2mX7pL4nT9wR1yB6cD3",
+        f"ENC_KEY={digits} and a/b/{digits.lower()[:22]} id-{digits[:20]}",
+        f"{digits}/Dummy12/{digits[::-1]}=EXAMPLE+1_Zk8vQ2mX7pL4nT9wR1yB6cD3-{digits[:25]}zz{digits[5:30]}",
+        "sample" * 10 + " example/placeholder/changeme012345 " + "ab" * 15 + " /dummy/" + "7" * 30,
+        f"exampleZk8vQ2mX7pL4nT9wR1yB6cD3 0123456789{digits} x{digits}y",
+        "550e8400-e29b-41d4-a716-446655440000/sample/550e8400-e29b-41d4-a716-446655440000",
+    ]
+    rng = random.Random(7)
+    parts = ["sample", "DUMMY", "/", "=", "_", "-", "é", " ", "Abc", digits, digits.lower()[:24], "Zk8vQ2mX7pL4nT9wR1yB", "9f" * 11]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    folder = write_documents(tmp_path / "joined", texts)
+    same_as_sql(spark, "op1_secrets", folder)
+    spans = queries.QUERIES["op1_secrets"](spark, folder).filter("doc_id = 0").first().spans
+    assert spans == "entropy:7:32"
