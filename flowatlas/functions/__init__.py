@@ -9,6 +9,7 @@ from flowatlas.functions.expressions import (
     surrogate_key,
 )
 from flowatlas.functions.globs import ensure_json_suffix, glob_to_regex, matches_glob
+from flowatlas.functions.packing import pack_columns, packed, text_columns, unpack_columns, unpacked
 
 __all__ = [
     "differs",
@@ -18,8 +19,13 @@ __all__ = [
     "last_path_part",
     "let",
     "matches_glob",
+    "pack_columns",
+    "packed",
     "parse_json",
     "pretty_json",
     "random_id",
     "surrogate_key",
+    "text_columns",
+    "unpack_columns",
+    "unpacked",
 ]
