@@ -500,7 +500,8 @@ def snapshot_history_untimed(spark: SparkSession, sf: str) -> DataFrame:
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The three tables as JSON files, read back: every column of every row."""
     folder = shared_folder(spark, "json")
-    plans.write_json_tables(plans.extraction.tables_of(_parsed(spark, sf), RUN_TS), folder)
+    parsed = sources.stage(spark, _parsed(spark, sf), f"{folder}/staging")
+    plans.write_json_tables(plans.extraction.tables_of(parsed, RUN_TS), folder, LANDED[0])
     found = []
     for name, schema in TABLE_SCHEMAS.items():
         rows = _untimed(spark.read.schema(schema).json(f"{folder}/{name}"))

@@ -14,7 +14,11 @@ def create_views(tables: Mapping[str, DataFrame]) -> list[str]:
     return names
 
 
-def write_json_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write each table as JSON lines to its own folder, NULL fields included."""
+def write_json_tables(tables: Mapping[str, DataFrame], folder: str, compression: str = "none") -> None:
+    """Write each table as JSON lines to its own folder, NULL fields included.
+
+    `compression` is a codec of Spark's JSON files: with `gzip` they are `.json.gz`.
+    """
     for name, df in tables.items():
-        df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}")
+        lines = df.write.mode("overwrite").option("ignoreNullFields", False)
+        lines.json(f"{folder}/{name}", compression=compression)

@@ -5,7 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from flowatlas import functions as fx, sources
+from flowatlas import functions as fx, plans, sources
 from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
 from flowatlas.sources import snapshots
@@ -56,3 +56,13 @@ def test_compressed_files_arrive_and_vanish(spark, folder):
     os.rename(f"{folder}/landing/two.json.gz", f"{folder}/two")
     remove_vanished(spark, f"{folder}/landing", f"{folder}/tables", **options)
     assert sorted(r.PipelineName for r in stored("pipelines_df").collect()) == ["p", "q"]
+
+
+def test_json_tables_compressed(spark, folder):
+    rows = spark.createDataFrame([("a", None), ("b", "1")], "k STRING, v STRING")
+    plans.write_json_tables({"t": rows}, folder, "gzip")
+    plans.write_json_tables({"plain": rows}, folder)
+    for name, ending in (("t", ".json.gz"), ("plain", ".json")):
+        assert all(f.endswith(ending) for f in os.listdir(f"{folder}/{name}") if f.startswith("part-"))
+        back = spark.read.schema(rows.schema).json(f"{folder}/{name}")
+        assert sorted(map(tuple, back.collect())) == [("a", None), ("b", "1")]
