@@ -9,6 +9,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from flowatlas.functions import pack_columns, text_columns, unpack_columns
 from flowatlas.operators.changes import (
     ACTION,
     INSERT,
@@ -78,8 +79,16 @@ def sync_table(
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {STRATEGIES}, not {strategy!r}")
     spark = source.sparkSession
+    entry = snapshots.latest_entry(spark, path)
+    target = source.limit(0) if entry is None else snapshots.read_entry(spark, path, entry)
+    moves = strategy == "upsert" and on_duplicate == "dedupe" and order_by is None and delete_scope is None
+    layout = snapshots.Buckets(buckets, list(keys)) if buckets else snapshots.buckets_of(entry)
+    # files in buckets are of the plain keys
+    texts = _text_keys(keys, source, target) if moves and not layout else []
     if strategy == "append":
         unique, duplicates = source, duplicate_keys(source, keys)
+    elif texts:
+        unique, duplicates = dedupe_by_key(pack_columns(source, texts), keys, order_by), duplicate_keys(source, keys)
     elif on_duplicate == "raise":
         unique, duplicates = keys_counted(source, keys), duplicate_keys(source, keys)
     else:
@@ -87,17 +96,12 @@ def sync_table(
     rejected = null_keyed(source, keys)
     if KEY_ROWS not in unique.columns:
         unique = with_keys(unique, keys)
-    entry = snapshots.latest_entry(spark, path)
     if entry is not None and not buckets and not day_column:
         day_column = entry["day_column"]
-    layout = snapshots.Buckets(buckets, list(keys)) if buckets else snapshots.buckets_of(entry)
     if layout and day_column:
         raise ValueError("a table is either bucketed or partitioned by day")
-    if entry is None:
-        # Known to be empty when planned, so the first sync has no join.
-        target = source.limit(0)
-    else:
-        target = snapshots.read_entry(spark, path, entry)
+    # An absent table is known to be empty when planned, so the first sync has no join.
+    target = pack_columns(target, texts)
     if entry is not None and strategy == "upsert" and entry["operation"] != "upsert":
         stored = dedupe_by_key(with_keys(target, keys), keys)
         target = stored.unionByName(null_keyed(target, keys))
@@ -105,6 +109,7 @@ def sync_table(
         changes = classify(
             target, unique, keys, ignore_columns, null_safe, delete_missing, delete_scope
         )
+        changes = unpack_columns(changes, texts)
     elif strategy == "append":
         kept = target.withColumn(ACTION, F.lit(SAME))
         changes = append_rows(kept, unique.withColumn(ACTION, F.lit(INSERT)))
@@ -126,6 +131,11 @@ def sync_table(
     return SyncResult(path, version, counts, rejected, duplicates)
 
 
+def _text_keys(keys: Sequence[str], *sides: DataFrame) -> list[str]:
+    """The key columns that are text on every side: they move packed, and are compared so."""
+    return [k for k in keys if all(k in text_columns(side) for side in sides)]
+
+
 def _write_counted(
     changes: DataFrame,
     path: str,
@@ -150,7 +160,14 @@ def validate_all(
     on_duplicate: str = "dedupe",
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
     """`(rows with unique keys, report of duplicates)` of every table."""
-    return {name: check_unique(df, keys[name], on_duplicate) for name, df in tables.items()}
+    if on_duplicate != "dedupe":
+        return {name: check_unique(df, keys[name], on_duplicate) for name, df in tables.items()}
+    found = {}
+    for name, df in tables.items():
+        texts = _text_keys(keys[name], df)
+        both = check_unique(pack_columns(df, texts), keys[name], on_duplicate)
+        found[name] = tuple(unpack_columns(part, texts) for part in both)
+    return found
 
 
 def sync_all(

@@ -66,3 +66,22 @@ def test_json_tables_compressed(spark, folder):
         assert all(f.endswith(ending) for f in os.listdir(f"{folder}/{name}") if f.startswith("part-"))
         back = spark.read.schema(rows.schema).json(f"{folder}/{name}")
         assert sorted(map(tuple, back.collect())) == [("a", None), ("b", "1")]
+
+
+def test_synced_and_validated_keys_move_packed(spark, folder):
+    digest = "0123456789abcdef" * 4
+    rows = [(digest, "x", "b"), (digest, "x", None), (digest, None, "c"), ("plain", "x", "d"), ("plain", "x", "a")]
+    source = spark.createDataFrame(rows, "k STRING, l STRING, v STRING")
+    unique, report = plans.validate_all({"t": source}, {"t": ["k", "l"]})["t"]
+    assert {tuple(r) for r in unique.collect()} == {(digest, "x", None), (digest, None, "c"), ("plain", "x", "a")}
+    assert {tuple(r) for r in report.collect()} == {(digest, "x", 2), ("plain", "x", 2)}
+    assert "unhex" in unique._jdf.queryExecution().optimizedPlan().toString()
+    path = f"{folder}/t"
+    for run, state in enumerate((source, source.filter("k = 'plain'").withColumn("v", F.lit("new")))):
+        result = plans.sync_table(state, path, ["k", "l"], on_duplicate="dedupe", run_ts=RUN_TS)
+        stored = {tuple(r) for r in sources.read_snapshot(spark, path).collect()}
+        if run == 0:
+            assert stored == {(digest, "x", None), ("plain", "x", "a")} and result.counts["inserted"] == 2
+            assert {tuple(r) for r in result.null_keyed.collect()} == {(digest, None, "c")}
+            assert {tuple(r) for r in result.duplicates.collect()} == {(digest, "x", 2), ("plain", "x", 2)}
+    assert stored == {("plain", "x", "new")} and (result.counts["updated"], result.counts["deleted"]) == (1, 1)
