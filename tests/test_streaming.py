@@ -9,7 +9,7 @@ from flowatlas import operators as ops, plans, sources
 from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
 from flowatlas.sources import snapshots
-from flowatlas.streaming import ingest_arrivals, rejected_arrivals, remove_vanished, sync_batch
+from flowatlas.streaming import ingest_arrivals, listing, rejected_arrivals, remove_vanished, sync_batch
 
 RUN_TS = datetime(2024, 1, 1)
 
@@ -369,3 +369,77 @@ def test_takeover_after_append_keeps_one_row_of_each_key(spark, folder):
     assert sorted(r.ActivityName for r in table(spark, folder, "activities_df").collect()) == ["a", "b", "x"]
     assert table(spark, folder, "dependencies_df").count() == 1
     assert [r.digest for r in rejected_arrivals(spark, f"{folder}/tables").collect()] == ["gone>gone"]
+
+
+def workflow_files(spark, path, version):
+    """In how many files of a version each workflow lies."""
+    rows = spark.read.parquet(snapshots.data_path(path, version)).withColumn("file", F.input_file_name())
+    files = rows.groupBy(snapshots.WORKFLOW).agg(F.countDistinct("file").alias("n"))
+    return {r[snapshots.WORKFLOW]: r.n for r in files.collect()}
+
+
+def test_a_workflow_lies_in_one_part_unless_its_document_is_large(spark, folder):
+    path, keys = f"{folder}/parted", ["id"]
+    rows = spark.range(2000).select("id", (F.col("id") % 20).cast("string").alias(snapshots.WORKFLOW), F.lit(1).alias("value"))
+    options = {"task_bytes": 1000, "listed_once": True}
+    workflows = rows.select(snapshots.WORKFLOW).distinct()
+
+    def sync(source, named, bytes_here, **more):
+        sliced.sync_workflows(source, path, keys, named, {0: bytes_here}, 1, lambda r: r, **options, **more)
+        entry = snapshots.latest_entry(spark, path)
+        return entry["slice_widest"], workflow_files(spark, path, entry["version"])
+
+    widest, files = sync(rows, workflows, 20_000, largest={0: 1000})
+    assert widest == {0: 1000} and set(files.values()) == {1}
+    # workflow 3 loses all but one row, 4 all of them, 5 comes back unchanged
+    some = workflows.filter(F.col(snapshots.WORKFLOW).isin("3", "4", "5"))
+    source = rows.filter((F.col(snapshots.WORKFLOW) == "5") | (F.col("id") == 3))
+    widest, files = sync(source, some, 3000, largest={0: 900})
+    assert widest == {0: 1000} and max(files.values()) <= 2 and "4" not in files
+    counts = {r[0]: r["count"] for r in snapshots.read_slices(spark, path, snapshots.latest_entry(spark, path)).groupBy(snapshots.WORKFLOW).count().collect()}
+    assert counts == {str(k): 1 if k == 3 else 100 for k in range(20) if k != 4}
+    widest, files = sync(source, some, 3000, largest={0: 50_000})
+    assert widest == {0: 50_000} and max(files.values()) > 2
+    # how large the stored document is stays known
+    widest, files = sync(source, some, 3000, largest={0: 10})
+    assert widest == {0: 50_000} and max(files.values()) > 2
+    assert sources.read_snapshot(spark, path).count() == 1801
+
+
+def tasks_of(changes):
+    """In how many tasks the rows of each workflow are, and how many there are."""
+    rows = changes.withColumn("task", F.spark_partition_id())
+    return rows.groupBy(snapshots.WORKFLOW).agg(F.countDistinct("task").alias("n"), F.count("*").alias("rows"))
+
+
+def test_marks_of_the_batch_go_to_one_part_each(spark):
+    stored = spark.range(1000).select("id", (F.col("id") % 10).cast("string").alias(snapshots.WORKFLOW))
+    workflows = stored.select(snapshots.WORKFLOW).distinct()
+    whole = sliced.compared(stored, stored.limit(0), workflows, ["id"], 1, parts=[8], spreads=[1], listed_once=True)
+    at = tasks_of(whole)
+    assert all((r.n, r.rows) == (1, 100) for r in at.collect())
+    assert {r.change_action for r in whole.collect()} == {"delete"}
+    spread = sliced.compared(stored, stored.limit(0), workflows, ["id"], 1, parts=[8], tasks=32, spreads=[3], listed_once=True)
+    found = tasks_of(spread).collect()
+    assert all(r.n <= 3 and r.rows == 100 for r in found) and max(r.n for r in found) > 1
+    assert {r.change_action for r in spread.collect()} == {"delete"}
+
+
+def test_newest_document_is_chosen_in_one_shuffle(spark):
+    early, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    digests = [c * 64 for c in "0af"]
+    columns = f"{snapshots.WORKFLOW} STRING, modified TIMESTAMP, path STRING, digest STRING"
+    found = spark.createDataFrame(
+        [("p", late, "x", digests[0]), ("p", late, "x", digests[2]), ("p", late, "x", digests[1]), ("q", early, "y", digests[0]),
+         ("r", early, "z", digests[1]), ("s", None, "y", digests[0]), ("t", early, "z", digests[1])], columns,
+    )
+    stored = spark.createDataFrame(
+        [("q", late, "a", digests[0]), ("r", early, "z", digests[0]), ("s", late, "a", digests[0]), ("t", early, "z", digests[1]),
+         ("u", late, "a", digests[0]), ("r", None, "zz", digests[2])], columns,
+    )
+    first = {tuple(r) for r in listing.newest_arrived(found, None).collect()}
+    assert {(r[0], r[3]) for r in first} == {("p", digests[2]), ("q", digests[0]), ("r", digests[1]), ("s", digests[0]), ("t", digests[1])}
+    chosen = listing.newest_arrived(found, stored)
+    assert {(r[0], r[3]) for r in chosen.collect()} == {("p", digests[2]), ("r", digests[1]), ("s", digests[0])}
+    plan = listing.newest_arrived(found, stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
