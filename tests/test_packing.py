@@ -85,3 +85,34 @@ def test_synced_and_validated_keys_move_packed(spark, folder):
             assert {tuple(r) for r in result.null_keyed.collect()} == {(digest, None, "c")}
             assert {tuple(r) for r in result.duplicates.collect()} == {(digest, "x", 2), ("plain", "x", 2)}
     assert stored == {("plain", "x", "new")} and (result.counts["updated"], result.counts["deleted"]) == (1, 1)
+
+
+def test_documents_of_a_workflow_are_staged_side_by_side(spark, folder):
+    acts = [{"name": "a", "type": "DatabricksNotebook", "typeProperties": {"notebookPath": "/x/n"}}]
+    text = [json.dumps({"name": f"w{k % 40}", "properties": {"activities": acts}}) for k in range(400)] + ["{", None]
+    documents = spark.createDataFrame([(f"/{k}", t) for k, t in enumerate(text)], "path STRING, value STRING").repartition(8)
+    found = {}
+    for by_workflow in (False, True):
+        staging = f"{folder}/{by_workflow}"
+        tables, rejected = plans.extract_all(spark, documents, run_ts=RUN_TS, staging=staging, by_workflow=by_workflow)
+        found[by_workflow] = {n: sorted(map(str, df.collect())) for n, df in {**tables, "rejected": rejected}.items()}
+    assert found[True] == found[False] and len(found[True]["rejected"]) == 2
+    staged = spark.read.parquet(f"{folder}/True").withColumn("file", F.input_file_name()).filter("PipelineName IS NOT NULL")
+    files = staged.groupBy("PipelineName").agg(F.countDistinct("file").alias("n"), F.count("*").alias("rows"))
+    assert {(r.n, r.rows) for r in files.collect()} == {(1, 10)}
+
+
+def test_ids_beside_the_keys_move_packed(spark, folder):
+    low, high = "0a" * 32, "f0" * 32
+    rows = [("k", high, "x"), ("k", low, "y"), ("l", high, "z"), ("l", None, "z"), ("m", low, None)]
+    source = spark.createDataFrame(rows, "k STRING, target STRING, v STRING")
+    for ids in ([], ["target"]):
+        path = f"{folder}/t{len(ids)}"
+        options = {"on_duplicate": "dedupe", "run_ts": RUN_TS, "id_columns": ids}
+        plans.sync_table(source, path, ["k"], **options)
+        stored = {tuple(r) for r in sources.read_snapshot(spark, path).collect()}
+        assert stored == {("k", low, "y"), ("l", None, "z"), ("m", low, None)}
+        result = plans.sync_table(source.filter("k <> 'l'").withColumn("target", F.lit(high)), path, ["k"], **options)
+        stored = {tuple(r) for r in sources.read_snapshot(spark, path).collect()}
+        assert stored == {("k", high, "x"), ("m", high, None)}
+        assert [result.counts[c] for c in ("inserted", "updated", "deleted", "unchanged")] == [0, 2, 1, 0]
