@@ -6,10 +6,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from flowatlas import functions as fx, plans, sources
+from flowatlas.operators import extract
 from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
 from flowatlas.sources import snapshots
-from flowatlas.streaming import ingest_arrivals, remove_vanished
+from flowatlas.streaming import arrivals, ingest_arrivals, remove_vanished
 
 RUN_TS = datetime(2024, 1, 1)
 
@@ -25,6 +26,38 @@ def test_packed_text_comes_back(spark):
     assert through.select("t").distinct().count() == len(texts)
 
 
+def test_ids_that_other_columns_tell_do_not_move(spark):
+    made = fx.surrogate_key("name", "kind")
+    odd = [("a", "k", "0" * 64), ("b", "k", None), (None, None, ""), ("c", None, "other")]
+    rows = spark.createDataFrame(odd, "name STRING, kind STRING, id STRING")
+    rows = rows.unionByName(rows.withColumn("id", made))
+    derived, texts = {"id": made}, ["name", "kind", "id"]
+    moved = fx.pack_columns(rows, texts, derived)
+    assert sorted(len(r.id) for r in moved.filter("id IS NOT NULL").collect()) == [0] * 4 + [1, 6, 33]
+    back = fx.unpack_columns(moved.repartition(3, "name"), texts, derived)
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, rows.collect()))
+    null = spark.createDataFrame([("a", None), ("b", "x")], "name STRING, id STRING")
+    derived = {"id": F.nullif("name", F.lit("a"))}
+    back = fx.unpack_columns(fx.pack_columns(null, null.columns, derived), null.columns, derived)
+    assert {tuple(r) for r in back.collect()} == {("a", None), ("b", "x")}
+
+
+def test_ids_of_extracted_rows_are_told_by_their_columns(spark):
+    acts = [
+        {"name": "a", "type": "ExecutePipeline", "typeProperties": {"pipeline": {"referenceName": "x"}}},
+        {"name": "b", "type": "DatabricksNotebook", "typeProperties": {"notebookPath": "/n/"}, "dependsOn": [{"activity": "a"}]},
+        {"name": "c", "type": "ExecuteDataFlow", "dependsOn": [{"activity": "b"}]},
+    ]
+    value = json.dumps({"name": "p", "properties": {"activities": acts}})
+    documents = spark.createDataFrame([("one", value)], "path STRING, value STRING")
+    tables = arrivals._with_workflow(sources.parse_documents(documents), RUN_TS)
+    found = {}
+    for name, derived in extract.derived_ids(F.col(snapshots.WORKFLOW)).items():
+        moved = fx.pack_columns(tables[name], fx.text_columns(tables[name]), derived)
+        found[name] = [len(r[c]) for r in moved.collect() for c in derived]
+    assert found == {"pipelines_df": [0], "activities_df": [0] * 9, "dependencies_df": [0] * 2}
+
+
 def test_of_repeated_new_rows_the_first_counts_without_a_shuffle_of_its_own(spark):
     rows = [("w", "k", "b"), ("w", "k", None), ("w", "k", "a"), ("w", "l", "z"), ("w", "l", "y")]
     source = spark.createDataFrame(rows, f"{snapshots.WORKFLOW} STRING, id STRING, value STRING")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowatlas import operators as ops, plans, sources
 from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
+from flowatlas.session import shuffles_removed
 from flowatlas.sources import snapshots
 from flowatlas.streaming import ingest_arrivals, listing, rejected_arrivals, remove_vanished, sync_batch
 
@@ -443,3 +444,30 @@ def test_newest_document_is_chosen_in_one_shuffle(spark):
     assert {(r[0], r[3]) for r in chosen.collect()} == {("p", digests[2]), ("r", digests[1]), ("s", digests[0])}
     plan = listing.newest_arrived(found, stored)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, folder):
+    land(f"{folder}/landing", "one", workflow("p", ("a", []), ("b", ["a"])), workflow("q", ("a", [])))
+    before = set(shuffles(spark))
+    run(spark, folder)
+    os.remove(f"{folder}/landing/one-1.json")
+    remove_vanished(spark, f"{folder}/landing", f"{folder}/tables", run_ts=RUN_TS)
+    # single values (counts, the newest batch) may leave some; the batch itself makes more than a dozen
+    assert len(set(shuffles(spark)) - before) <= 4
+    assert [r.PipelineName for r in table(spark, folder, "pipelines_df").collect()] == ["p"]
+
+
+def shuffles(spark):
+    """Numbers of the shuffles that have files."""
+    tops = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    names = [file for top in tops for _, _, files in os.walk(top.getPath()) for file in files]
+    return [name.split("_")[1] for name in names if name.startswith("shuffle_")]
+
+
+def test_the_session_keeps_its_setting(spark, folder):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    with pytest.raises(ValueError), shuffles_removed(spark):
+        assert spark.conf.get(setting) == "true"
+        raise ValueError
+    assert spark.conf.get(setting) == before
