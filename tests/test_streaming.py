@@ -10,7 +10,7 @@ from flowatlas.plans import sliced
 from flowatlas.plans.naming import dataset_name
 from flowatlas.session import shuffles_removed
 from flowatlas.sources import snapshots
-from flowatlas.streaming import ingest_arrivals, listing, rejected_arrivals, remove_vanished, sync_batch
+from flowatlas.streaming import arrivals, ingest_arrivals, listing, rejected_arrivals, remove_vanished, sync_batch
 
 RUN_TS = datetime(2024, 1, 1)
 
@@ -446,14 +446,25 @@ def test_newest_document_is_chosen_in_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
-def test_a_batch_leaves_no_shuffle_files(spark, folder):
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_steps_of_a_batch_remove_their_shuffle_files(spark, folder, monkeypatch):
     land(f"{folder}/landing", "one", workflow("p", ("a", []), ("b", ["a"])), workflow("q", ("a", [])))
-    before = set(shuffles(spark))
+    seen = []
+
+    def stage(session, df, path):
+        before = set(shuffles(spark))
+        staged = sources.stage(session, df.repartition(3), path)
+        seen.append((session.conf.get(CLEANUP), set(shuffles(spark)) - before))
+        return staged
+
+    monkeypatch.setattr(arrivals, "stage", stage)
     run(spark, folder)
+    assert len(seen) == 4 and all(step == ("true", set()) for step in seen)
     os.remove(f"{folder}/landing/one-1.json")
     remove_vanished(spark, f"{folder}/landing", f"{folder}/tables", run_ts=RUN_TS)
-    # single values (counts, the newest batch) may leave some; the batch itself makes more than a dozen
-    assert len(set(shuffles(spark)) - before) <= 4
+    assert len(seen) == 7 and all(step == ("true", set()) for step in seen)
     assert [r.PipelineName for r in table(spark, folder, "pipelines_df").collect()] == ["p"]
 
 
@@ -465,9 +476,8 @@ def shuffles(spark):
 
 
 def test_the_session_keeps_its_setting(spark, folder):
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting)
+    before = spark.conf.get(CLEANUP)
     with pytest.raises(ValueError), shuffles_removed(spark):
-        assert spark.conf.get(setting) == "true"
+        assert spark.conf.get(CLEANUP) == "true"
         raise ValueError
-    assert spark.conf.get(setting) == before
+    assert spark.conf.get(CLEANUP) == before
