@@ -14,11 +14,14 @@ for each cell (16 MB). A cell holds all occurrences of its runs and perhaps othe
 phrase is lost, and a run too many costs time only, as the sort counts anew. Beyond some 50 GB
 most cells are heavy and little is left out: then all suffixes are routed.
 
+Equal suffixes are added up before they move, in a task for each core or for `words_each` words,
+whichever are more. Were it a task for each part of the input, each would send nearly all frequent
+phrases, which grow in number themselves, as `least` is fixed.
+
 Hot leading words. Where a hash cell of leading words holds over a 1024th of all suffixes
 (less where there are more than 256 tasks), its suffixes are routed by one word more, and so
 on; phrases shorter than their route are then counted by an aggregate. No group thus lies in
-one task because many share its first words, and suffixes that are equal as a whole are added
-up before they move.
+one task because many share its first words.
 
 A null text is empty, a null group is `und`. A text of over 3 MB is taken in parts that end at
 punctuation. Repeated rows count each time. Ties of score are in order of count, then phrase
@@ -331,6 +334,18 @@ def sort_suffixes(batches: Iterator[pa.RecordBatch], least: int, longest: int) -
 # --- Spark ---------------------------------------------------------------------------
 
 
+def in_few_tasks(texts: DataFrame, words: int, words_each: int) -> DataFrame:
+    """The texts in a task for each core, or in more of some `words_each` of their words."""
+    return texts.coalesce(max(texts.sparkSession.sparkContext.defaultParallelism, -(-words // words_each)))
+
+
+def local_suffixes(texts: DataFrame, least: int, longest: int, words: int, words_each: int) -> DataFrame:
+    """(group, w1.., n): the suffixes of each task, equal ones added up."""
+    maps = texts.sparkSession.sparkContext.broadcast(bit_maps(texts, least))
+    found = in_few_tasks(texts, words, words_each)
+    return found.mapInArrow(summed(lambda w: count_suffixes(w, maps.value, longest)), kind_of(longest))
+
+
 def routed(suffixes: DataFrame, longest: int, rows_each: int) -> tuple[DataFrame, DataFrame | None]:
     """(suffixes dealt out by leading words, counts of phrases that are shorter than their route)."""
     names = [f"w{k}" for k in range(1, longest + 1)]
@@ -357,22 +372,24 @@ def routed(suffixes: DataFrame, longest: int, rows_each: int) -> tuple[DataFrame
     return given.repartition(tasks, F.xxhash64("group", *route)), short
 
 
+def kind_of(words: int) -> str:
+    return "group string, " + "".join(f"w{k} string, " for k in range(1, words + 1)) + "n bigint"
+
+
 def phrase_counts(
-    docs: DataFrame, text: str, group: str, least: int, longest: int, rows_each: int
+    docs: DataFrame, text: str, group: str, least: int, longest: int, rows_each: int, words_each: int = 1 << 25
 ) -> tuple[DataFrame, DataFrame]:
     """(group, phrase, words, f) of all phrases with f >= least, and (group, n) with all words."""
     texts = docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("group"), F.col(text).alias("text"))
     bound_batches(docs.sparkSession)
-    kind = lambda words: "group string, " + "".join(f"w{k} string, " for k in range(1, words + 1)) + "n bigint"
 
-    found = texts.mapInArrow(summed(count_words), kind(1))
+    found = texts.mapInArrow(summed(count_words), kind_of(1))
     words = cut_lineage(found.groupBy("group", "w1").agg(F.sum("n").alias("f")))
     sizes = words.groupBy("group").agg(F.sum("f").alias("n"))
     common = words.filter(F.col("f") >= least)
 
-    maps = texts.sparkSession.sparkContext.broadcast(bit_maps(texts, least))
-    found = texts.mapInArrow(summed(lambda w: count_suffixes(w, maps.value, longest)), kind(longest))
-    suffixes = cut_lineage(found)
+    total = words.agg(F.sum("f")).first()[0] or 0
+    suffixes = cut_lineage(local_suffixes(texts, least, longest, total, words_each))
     dealt, short = routed(suffixes, longest, rows_each)
     schema = "group string, phrase string, words int, f bigint"
     phrases = dealt.mapInArrow(lambda batches: sort_suffixes(batches, least, longest), schema)
@@ -398,15 +415,17 @@ def mine(
     top: int = 2000,
     cover: int = 100,
     rows_each: int = 250_000,
+    words_each: int = 1 << 25,
 ) -> DataFrame:
     """The `top` phrases of each group: group, rank, phrase, a, l, r, n, score.
 
     A phrase of which a longer one has `cover` percent of the occurrences or more is left out.
-    `rows_each` is how many suffixes a task sorts.
+    `rows_each` is how many suffixes a task sorts, `words_each` of how many words a task adds
+    them up before they move.
     """
     if longest < 2 or not 1 <= least <= MOST:
         raise ValueError(f"phrases have two words at least, and `least` is 1 to {MOST}")
-    counts, sizes = phrase_counts(docs, text, group, least, longest, rows_each)
+    counts, sizes = phrase_counts(docs, text, group, least, longest, rows_each, words_each)
     phrases = counts.filter("words > 1")
 
     parts = F.split("phrase", " ")

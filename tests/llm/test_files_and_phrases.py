@@ -112,6 +112,19 @@ def test_hot_leading_words_are_split_and_counted(spark, monkeypatch):
     assert {r.phrase: r.f for r in counts.collect()} == {p: n for p, n in want.items() if n >= 3}
 
 
+def test_equal_suffixes_of_many_parts_are_added_up_before_they_move(spark):
+    """Rows sent are told by the cores, not by the parts of the input; more words make more tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    texts = spark.range(0, 20 * cores, 1, 5 * cores).selectExpr("'en' AS group", "'one two three four five six' AS text")
+    sent = collocations.local_suffixes(texts, 3, 5, 6 * 20 * cores, 1 << 25)
+    rows = [(r.w1, r.w5, r.n) for r in sent.collect()]
+    assert len(rows) == 5 * cores and Counter(w for w, _, _ in rows) == dict.fromkeys(["one", "two", "three", "four", "five"], cores)
+    assert all(sum(n for w, _, n in rows if w == first) == 20 * cores for first in ("one", "five"))
+    assert {last for w, last, _ in rows if w == "one"} == {"five"} and {last for w, last, _ in rows if w == "five"} == {None}
+    more = collocations.in_few_tasks(texts, 6 * 20 * cores, 60)
+    assert more.rdd.getNumPartitions() == 2 * cores
+
+
 def test_long_texts_are_cut_where_pieces_end():
     text = "one two. three four, five six\nseven" * 20
     parts = list(collocations.at_breaks(text, 30))
