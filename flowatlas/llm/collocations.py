@@ -251,7 +251,7 @@ def bit_maps(texts: DataFrame, least: int) -> dict[int, np.ndarray]:
 
 
 def count_suffixes(words: Words, maps: dict[int, np.ndarray], longest: int) -> pa.Table:
-    """Suffixes of two words or more, which end before an infrequent pair or run of three."""
+    """Suffixes of two words or more, which end before an infrequent pair or run of three; -1 is no word."""
     good = {size: np.zeros(len(words.code) + longest, bool) for size in RUNS}
     for size, known in good.items():
         at, cell = cells_of(words, size)
@@ -264,9 +264,44 @@ def count_suffixes(words: Words, maps: dict[int, np.ndarray], longest: int) -> p
         codes.append(np.where(alive, padded[at + k], -1))
     table = pa.table({"group": words.group[at]} | {f"w{k}": c for k, c in enumerate(codes, 1)} | {"n": np.ones(len(at), np.int64)})
     names = table.column_names[:-1]
-    table = table.group_by(names).aggregate([("n", "sum")])
-    column = lambda c: table[c].to_numpy()
-    return _grouped(words, column("group"), [column(c) for c in names[1:]], column("n_sum"))
+    return table.group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
+
+
+def numbered(words: Words, table: pa.Table, numbers: dict[bytes, int]) -> pa.Table:
+    """Such suffixes with numbers of the task, not of the block, for groups and words."""
+    number = lambda texts: [numbers.setdefault(x, len(numbers)) for x in texts]
+    codes = [table[c].to_numpy() for c in table.column_names[1:-1]]
+    used = np.unique(np.concatenate(codes))
+    used = used[used >= 0]
+    known = np.full(len(words.words) + 1, -1, np.int32)  # the last is for no word, -1
+    known[used] = number(words.words.take(pa.array(used)).to_pylist())
+    groups = np.array(number(g.encode() for g in words.names), np.int32)
+    columns = [groups[table["group"].to_numpy()], *(known[c] for c in codes), table["n"].to_numpy()]
+    return pa.table(columns, names=table.column_names)
+
+
+def spelled(batch: pa.RecordBatch, numbers: dict[bytes, int]) -> pa.RecordBatch:
+    """Rows of such numbers with their texts."""
+    texts = pa.array(list(numbers), pa.binary()).cast(pa.string())
+    codes = [c.to_numpy() for c in batch.columns[:-1]]
+    columns = [texts.take(pa.array(c, mask=c < 0)) for c in codes]
+    return pa.RecordBatch.from_arrays([*columns, batch.column(batch.num_columns - 1)], names=batch.schema.names)
+
+
+def sum_suffixes(
+    batches: Iterator[pa.RecordBatch], maps: dict[int, np.ndarray], longest: int, most: int = 1 << 21
+) -> Iterator[pa.RecordBatch]:
+    """The suffixes of a task, added up as rows of numbers, of which many more can be held."""
+    sums, numbers = Sums(most), {}
+    for batch in batches:
+        for words in blocks(batch):
+            for part in sums.add(numbered(words, count_suffixes(words, maps, longest), numbers)):
+                yield spelled(part, numbers)
+            if not sums.rows:
+                numbers.clear()
+    for part in sums.rest():
+        yield spelled(part, numbers)
+    pa.default_memory_pool().release_unused()
 
 
 # --- multikey quicksort --------------------------------------------------------------
@@ -343,7 +378,7 @@ def local_suffixes(texts: DataFrame, least: int, longest: int, words: int, words
     """(group, w1.., n): the suffixes of each task, equal ones added up."""
     maps = texts.sparkSession.sparkContext.broadcast(bit_maps(texts, least))
     found = in_few_tasks(texts, words, words_each)
-    return found.mapInArrow(summed(lambda w: count_suffixes(w, maps.value, longest)), kind_of(longest))
+    return found.mapInArrow(lambda batches: sum_suffixes(batches, maps.value, longest), kind_of(longest))
 
 
 def routed(suffixes: DataFrame, longest: int, rows_each: int) -> tuple[DataFrame, DataFrame | None]:

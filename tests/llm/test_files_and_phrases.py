@@ -125,6 +125,25 @@ def test_equal_suffixes_of_many_parts_are_added_up_before_they_move(spark):
     assert more.rdd.getNumPartitions() == 2 * cores
 
 
+def test_suffixes_are_summed_alike_however_few_are_held():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["a", "é", "漢字", "d", "e,"], k=rng.randint(0, 30))) for _ in range(600)]
+    groups = [rng.choice(["en", "dé", ""]) for _ in texts]
+    want = Counter()
+    for text, group in zip(texts, groups):
+        for words in (piece.split() for piece in text.split(",")):
+            want.update((group, *(words + [None] * 5)[i : i + 5]) if i + 5 > len(words) else (group, *words[i : i + 5]) for i in range(len(words) - 1))
+    rows = pa.RecordBatch.from_arrays([pa.array(groups), pa.array(texts)], names=["group", "text"])
+    maps = {size: np.full(1 << collocations.CELL_BITS >> 3, 255, np.uint8) for size in collocations.RUNS}
+    for most in (20, 1 << 21):
+        got, sent = Counter(), 0
+        for part in collocations.sum_suffixes(iter([rows.slice(k, 20) for k in range(0, 600, 20)]), maps, 5, most):
+            sent += len(part)
+            for *key, n in zip(*(c.to_pylist() for c in part.columns)):
+                got[tuple(key)] += n
+        assert got == want and (sent == len(want)) == (most > 20)
+
+
 def test_long_texts_are_cut_where_pieces_end():
     text = "one two. three four, five six\nseven" * 20
     parts = list(collocations.at_breaks(text, 30))
