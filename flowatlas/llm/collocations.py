@@ -144,7 +144,7 @@ class Sums:
     def _reduce(self) -> None:
         table = pa.concat_tables(self.tables)
         names = [c for c in table.column_names if c != "n"]
-        table = table.group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
+        table = table.group_by(names, use_threads=False).aggregate([("n", "sum")]).rename_columns([*names, "n"])
         self.tables, self.rows = [table], len(table)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
@@ -289,7 +289,7 @@ def spelled(batch: pa.RecordBatch, numbers: dict[bytes, int]) -> pa.RecordBatch:
 
 
 def sum_suffixes(
-    batches: Iterator[pa.RecordBatch], maps: dict[int, np.ndarray], longest: int, most: int = 1 << 21
+    batches: Iterator[pa.RecordBatch], maps: dict[int, np.ndarray], longest: int, most: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The suffixes of a task, added up as rows of numbers, of which many more can be held."""
     sums, numbers = Sums(most), {}
