@@ -315,6 +315,21 @@ def test_not_failures(spark):
     assert names == {"p"}
 
 
+def test_text_after_an_object_that_looks_like_the_end_mark(spark):
+    whole = ['{"name": "p", "_end_of_text": "x"}', '{"name": "p", "_end_of_text": {"a": [1]}}', '{"_end_of_text": 5, "name": "p"} ']
+    more = ['{"name": "p"},{"_end_of_text": "x"}', '{"name": "p"},', '{"name": "p"}]', '{"name": "p"},{"a":[1', '{"name": "p"} null']
+    assert failures(spark, *whole) == {}
+    assert failures(spark, *more) == dict.fromkeys(range(len(more)), "text after the object")
+
+
+def test_work_on_each_text_and_edge_is_kept_small(spark):
+    """What lies in a text is not copied to find its end, and edges are looked up in compiled code."""
+    parsed = parse(spark, LINKED)
+    plan = ops.dependencies(parsed, RUN_TS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrayType(StringType" not in plan
+    assert "explode(links" in plan and "inline(transform(links" not in plan
+
+
 def test_one_bad_document_does_not_stop_the_rest(spark):
     documents = frame(spark, document("p", notebook("n", "/x")), "{")
     tables, bad = plans.extract_all(spark, documents)

@@ -26,6 +26,12 @@ def test_packed_text_comes_back(spark):
     assert through.select("t").distinct().count() == len(texts)
 
 
+def test_packing_needs_no_pattern(spark):
+    rows = spark.createDataFrame([("a",)], "t STRING")
+    plan = fx.pack_columns(rows, ["t"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper()
+
+
 def test_ids_that_other_columns_tell_do_not_move(spark):
     made = fx.surrogate_key("name", "kind")
     odd = [("a", "k", "0" * 64), ("b", "k", None), (None, None, ""), ("c", None, "other")]
