@@ -198,6 +198,14 @@ def test_stored_rows_move_once_and_meet_no_join(spark, folder):
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
 
 
+def test_rows_of_both_sides_are_sorted_once(spark):
+    rows = spark.createDataFrame([("w", "k", 1)], f"{snapshots.WORKFLOW} STRING, id STRING, v INT")
+    changes = sliced.compared(rows, rows, rows, ["id"], 4, parts=[2, 1, 1, 3])
+    assert [r[ops.ACTION] for r in changes.collect()] == ["same"]
+    plan = changes._jdf.queryExecution().executedPlan()
+    assert plan.toString().partition("Initial Plan")[0].count(" Sort [") == 1
+
+
 def sync_slices(spark, path, source, **options):
     count = sliced.slice_count(spark, path) or 1
     workflows = source.select(snapshots.WORKFLOW).distinct()
