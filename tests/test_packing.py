@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from checks import fixtures
 from flowatlas import functions as fx, plans, sources
 from flowatlas.operators import extract
 from flowatlas.plans import sliced
@@ -97,6 +98,21 @@ def test_compressed_files_arrive_and_vanish(spark, folder):
     assert sorted(r.PipelineName for r in stored("pipelines_df").collect()) == ["p", "q"]
 
 
+def test_files_of_bounded_batches_are_few_and_hold_all_documents(spark, folder):
+    orders = spark.range(40).selectExpr(
+        "id AS o_orderkey", "IF(id = 3, NULL, id % 5) AS o_custkey", "IF(id % 2 = 0, 'F', NULL) AS o_orderstatus",
+        "cast(DATE'1996-01-25' + cast(id % 9 AS INT) AS TIMESTAMP_NTZ) AS o_orderdate",
+        "IF(id = 7, NULL, '2-HIGH') AS o_orderpriority",
+    )
+    old, _ = fixtures.arrivals(orders)
+    old.write.json(f"{folder}/plain")
+    fixtures.land_in_files(spark, old, f"{folder}/waiting", f"{folder}/landing", 3)
+    names = os.listdir(f"{folder}/landing")
+    assert len([n for n in names if n.endswith(".json")]) == 3
+    lines = [sorted(r.value for r in spark.read.text(f"{folder}/{place}").collect()) for place in ("plain", "landing")]
+    assert lines[0] == lines[1] and len(lines[0]) == 40
+
+
 def test_json_tables_compressed(spark, folder):
     rows = spark.createDataFrame([("a", None), ("b", "1")], "k STRING, v STRING")
     plans.write_json_tables({"t": rows}, folder, "gzip")
